@@ -118,26 +118,36 @@ def slices(rows: pa.Array) -> Iterator[pa.Array]:
         lo = hi
 
 
-def log_probabilities(gram: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """ln p(last symbol | the three before) for all 64**4 grams, interpolated by Witten-Bell down to uniform."""
-    full = np.zeros(SYMBOLS**ORDER, np.float64)
-    full[gram] = n
-    p = np.full(1, 1.0 / SYMBOLS)
-    for order in range(1, ORDER + 1):
-        c = full.reshape(-1, SYMBOLS**order).sum(0).reshape(-1, SYMBOLS)
-        total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-        lower = np.resize(p, c.shape) if order == 1 else np.tile(p.reshape(-1, SYMBOLS), (SYMBOLS, 1)) if order > 2 else np.tile(p.reshape(1, SYMBOLS), (SYMBOLS, 1))
-        p = np.where(total > 0, (c + kinds * lower) / np.where(total > 0, total + kinds, 1), lower).ravel()
-    return np.log(p)
+def smoothed(c: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Witten-Bell: rows of c are contexts, their counts mixed with the probabilities lower of the shorter context."""
+    total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
+    return np.where(total > 0, (c + kinds * lower) / np.maximum(total + kinds, 1), lower)
+
+
+def probabilities(gram: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
+    """p(last symbol | the three before) of all 64**4 grams, in 64 slices by first symbol; gram is sorted."""
+    p = np.full((1, SYMBOLS), 1.0 / SYMBOLS)
+    for order in range(1, ORDER):
+        c = np.bincount(gram % SYMBOLS**order, n, SYMBOLS**order).reshape(-1, SYMBOLS)
+        p = smoothed(c, np.tile(p.reshape(-1, SYMBOLS), (len(c) * SYMBOLS // p.size, 1)))
+    ends = np.searchsorted(gram, np.arange(SYMBOLS + 1) * SYMBOLS ** (ORDER - 1))
+    for s in range(SYMBOLS):
+        at = slice(ends[s], ends[s + 1])
+        c = np.bincount(gram[at] - s * SYMBOLS ** (ORDER - 1), n[at], SYMBOLS ** (ORDER - 1)).reshape(-1, SYMBOLS)
+        yield smoothed(c, p).ravel()
 
 
 def loss_difference(table_: DataFrame) -> np.ndarray:
     """target loss - background loss of each gram; at most 64**4 rows reach the driver."""
     rows = table_.toPandas()
-    gram = rows["gram"].to_numpy(np.int64)
-    if not rows["target"].sum() or not rows["background"].sum():
-        return np.zeros(SYMBOLS**ORDER, np.float32)
-    return (log_probabilities(gram, rows["background"].to_numpy(float)) - log_probabilities(gram, rows["target"].to_numpy(float))).astype(np.float32)
+    gram, target, background = (rows[k].to_numpy(np.int64) for k in ("gram", "target", "background"))
+    out = np.zeros((SYMBOLS, SYMBOLS ** (ORDER - 1)), np.float32)
+    if target.any() and background.any():
+        order = np.argsort(gram)
+        gram, target, background = gram[order], target[order], background[order]
+        for s, (t, b) in enumerate(zip(probabilities(gram, target), probabilities(gram, background), strict=True)):
+            out[s] = np.log(b) - np.log(t)
+    return out.ravel()
 
 
 def score(docs: DataFrame, difference: np.ndarray, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
