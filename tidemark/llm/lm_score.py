@@ -1,7 +1,7 @@
 """Language-model scores by cross-entropy difference.
 
 Two models of the same order over one shared vocabulary are counted from the corpus: a target model
-from chosen documents and a background model from all others.  The vocabulary is closed: every UTF-8
+from chosen documents and a background model from the whole corpus.  The vocabulary is closed: every UTF-8
 byte is one of 64 symbols (letters without case, one digit, punctuation groups, bytes of other
 letters), so no token is unknown to either model and the model table has a fixed size, 64**4 cells.
 Both are interpolated by Witten-Bell.  A document's score is the mean over its tokens of
@@ -72,29 +72,30 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return gram, lengths
 
 
-def counts(docs: DataFrame, target: str, text: str = "text") -> DataFrame:
-    """(gram, target, background): occurrences in documents where target holds, and in the others."""
+def counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(gram, n): partial counts of the 4-grams of docs, one row per gram and task."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Bounded: a cell for each possible 4-gram, whatever the input.
-        cells = np.zeros((2, SYMBOLS**ORDER), np.int64)
-        any_rows = False
+        cells = np.zeros(SYMBOLS**ORDER, np.int64)
         for batch in batches:
-            own = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
-            for which in (0, 1):
-                rows = batch.column(0).filter(pa.array(own == bool(which)))
-                for part in slices(rows):
-                    gram, _ = grams(part)
-                    np.add.at(cells[which], *_tally(gram))
-                    any_rows = True
-        if any_rows:
-            seen = np.flatnonzero(cells.any(0))
-            for lo in range(0, len(seen), 1 << 18):
-                at = seen[lo : lo + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(cells[1][at]), pa.array(cells[0][at])], names=["gram", "target", "background"])
-
-    rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    return rows.mapInArrow(each, "gram int, target long, background long").groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+            for part in slices(batch.column(0)):
+                gram, n = _tally(grams(part)[0])
+                cells[gram] += n
+        seen = np.flatnonzero(cells)
+        for lo in range(0, len(seen), 1 << 18):
+            at = seen[lo : lo + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(cells[at])], names=["gram", "n"])
+
+    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(each, "gram int, n long")
+
+
+def matched_counts(target: DataFrame, background: DataFrame) -> DataFrame:
+    """(gram, target, background) over both sets of documents."""
+    zero = F.lit(0).cast("long")
+    both = counts(target).select("gram", F.col("n").alias("target"), zero.alias("background"))
+    both = both.unionByName(counts(background).select("gram", zero.alias("target"), F.col("n").alias("background")))
+    return both.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
 def _tally(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,8 +173,11 @@ def score(docs: DataFrame, difference: np.ndarray, keep: tuple[str, ...] = ("doc
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-entropy difference of every document; the target is the documents labelled quality 1."""
+    """Cross-entropy difference of every document; the target is the documents labelled quality 1, the
+    background all documents.  The labels grow with the documents, so they are never broadcast: the
+    texts meet them in a merge join, before which Spark's Bloom filter takes out unlabelled ones of a
+    large corpus."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("good")).distinct()
-    marked = docs.join(good, docs["doc_id"] == good["good"], "left").select("text", F.col("good").isNotNull().alias("target"))
-    return score(docs, loss_difference(counts(marked, "target")))
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    target = docs.join(good.hint("merge"), "doc_id", "left_semi")
+    return score(docs, loss_difference(matched_counts(target, docs)))
