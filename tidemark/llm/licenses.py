@@ -109,14 +109,24 @@ SPELLINGS: list[tuple[str, str]] = [
 
 # The same patterns serve Java and RE2 regular expressions.
 COPYRIGHT_LINES = r"(?i)(^|\n)[ \t*#/;-]*(copyright[ \t]|copyright:|\(c\)[ \t]|©|all rights reserved)[^\n]*"
-DROPPED = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
+DROPPED = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
+# No spelling makes a form longer or shorter than this.
+STRETCH = 3
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text."""
-    out = F.regexp_replace(text, COPYRIGHT_LINES, "\n")
-    out = F.trim(F.regexp_replace(F.lower(out), DROPPED, " "))
-    out = F.concat(F.lit(" "), out, F.lit(" "))
+def cleaned(text: Column) -> Column:
+    """The text without copyright lines, case and punctuation; line breaks stay."""
+    return F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINES, "\n")), DROPPED, " ")
+
+
+def squeezed(text: Column) -> Column:
+    """A cleaned text as one line."""
+    return F.trim(F.regexp_replace(text, "[ \n]+", " "))
+
+
+def spelled(form: Column) -> Column:
+    """A squeezed text with equivalent spellings made one."""
+    out = F.concat(F.lit(" "), form, F.lit(" "))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
     return F.trim(out)
@@ -130,23 +140,23 @@ def registry(spark: SparkSession, texts: list[tuple[str, str]] | None = None) ->
 
 def digests_of(texts: DataFrame) -> DataFrame:
     """(license_id, digest) of a table (license_id, text)."""
-    form = texts.select("license_id", canonical(F.col("text")).alias("form")).where("form <> ''")
-    return form.select("license_id", F.sha2("form", 256).alias("digest")).distinct()
+    form = texts.select("license_id", spelled(squeezed(cleaned(F.col("text")))).alias("form")).where("form <> ''")
+    return form.select("license_id", F.sha2("form", 256).alias("digest"), F.length("form").alias("length")).distinct()
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text", small: bool = True) -> DataFrame:
     """(doc_id, license_id, scope, n): units of docs whose canonical digest is a known one; scope is
     'document' (the whole text) or 'line'.  A one-line text is a document unit and a line unit."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
-    whole = rows.select("doc_id", F.lit("document").alias("scope"), "text")
-    lines = rows.select("doc_id", F.lit("line").alias("scope"), F.explode(F.split("text", "\n", -1)).alias("text"))
-
-    def matched(units: DataFrame) -> DataFrame:
-        digest = F.sha2(canonical(F.col("text")), 256)
-        units = units.select("doc_id", "scope", digest.alias("digest"))
-        return units.join(F.broadcast(known) if small else known, "digest")
-
-    found = matched(whole).unionByName(matched(lines))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), cleaned(F.col(text).cast("string")).alias("text")).where("text is not null")
+    whole = F.array(F.struct(F.lit("document").alias("scope"), squeezed(F.col("text")).alias("form")))
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.lit("line").alias("scope"), F.trim(x).alias("form")))
+    units = rows.select("doc_id", F.explode(F.concat(whole, lines)).alias("unit")).select("doc_id", "unit.*")
+    # Digests are taken only of forms that have a known text's length, give or take what spellings change.
+    least, most = known.agg(F.min("length"), F.max("length")).first()
+    units = units.where(F.length("form").between(least // STRETCH, most * STRETCH)) if least else units.where("false")
+    units = units.select("doc_id", "scope", F.sha2(spelled(F.col("form")), 256).alias("digest"))
+    known = known.select("license_id", "digest")
+    found = units.join(F.broadcast(known) if small else known, "digest")
     return found.groupBy("doc_id", "license_id", "scope").agg(F.count("*").alias("n"))
 
 
@@ -159,7 +169,8 @@ def op3_sql() -> str:
     """The scan in DuckDB SQL."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     form = "regexp_replace(text, " + quoted(COPYRIGHT_LINES) + ", chr(10), 'g')"
-    form = f"' ' || trim(regexp_replace(lower({form}), {quoted(DROPPED)}, ' ', 'g')) || ' '"
+    form = f"regexp_replace(lower({form}), {quoted(DROPPED)}, ' ', 'g')"
+    form = f"' ' || trim(regexp_replace({form}, '[ ' || chr(10) || ']+', ' ', 'g')) || ' '"
     for old, new in SPELLINGS:
         form = f"replace({form}, {quoted(old)}, {quoted(new)})"
     known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in REGISTRY)
