@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,7 +111,7 @@ def slices(rows: pa.Array) -> Iterator[pa.Array]:
     """Runs of whole texts of about CHUNK bytes."""
     if not len(rows):
         return
-    ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(rows), 0)))
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(rows), 0)))
     lo = 0
     while lo < len(rows):
         base = ends[lo - 1] if lo else 0
