@@ -20,3 +20,7 @@ def query(sql: str | None = None):
         return f
 
     return register
+
+
+# The modules register themselves; they need query() from above.
+from tidemark.plans import aggregates, checks, joins, revisions, rows, sets, streams  # noqa: E402, F401
