@@ -19,13 +19,13 @@ def case_ratio_guard(spark, d):
 
 
 @query("""
-SELECT event_id, epoch_us(ts) AS us, epoch_ms(ts) AS ms, CAST(ts AS DATE)::VARCHAR AS day, strftime(ts, '%Y-%m-%dT%H') AS hour_label,
+SELECT event_id, epoch_us(ts) AS us, epoch_us(ts) // 1000 AS ms, CAST(ts AS DATE)::VARCHAR AS day, strftime(ts, '%Y-%m-%dT%H') AS hour_label,
   epoch_us(make_timestamp(epoch_us(ts) // 1000000 * 1000000)) AS second_us, TRY_CAST(event_type AS BIGINT) AS not_a_number, CAST(value AS VARCHAR) IS NOT NULL AS has_value FROM events""")
 def casts_dates(spark, d):
     """PROJ-05, FN-05, FN-06, FN-07, FN-22: casts that may fail, epochs, dates and labels."""
     us = S.epoch_micros("ts")
     return table(spark, d, "events").select(
-        "event_id", us.alias("us"), F.floor(us / 1000).cast("long").alias("ms"), F.to_date("ts").cast("string").alias("day"), F.date_format("ts", "yyyy-MM-dd'T'HH").alias("hour_label"),
+        "event_id", us.alias("us"), F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) div 1000").alias("ms"), F.to_date("ts").cast("string").alias("day"), F.date_format("ts", "yyyy-MM-dd'T'HH").alias("hour_label"),
         F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', date_trunc('second', ts))").alias("second_us"),
         F.col("event_type").try_cast("long").alias("not_a_number"), F.col("value").cast("string").isNotNull().alias("has_value"),
     )
