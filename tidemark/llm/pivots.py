@@ -120,11 +120,11 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     described = points.select("v", "gid", "label", "n")
     described = described.mapInArrow(describe, "v array<double>, gid long, label string, n long, prefix array<int>")
-    pairs = F.array(*(F.struct(F.col("sorted")[a].alias("p"), F.col("sorted")[b].alias("q")) for a, b in combinations(range(PREFIX), 2)))
+    pairs = F.array(*(F.struct(F.get("sorted", a).alias("p"), F.get("sorted", b).alias("q")) for a, b in combinations(range(PREFIX), 2)))
     described = described.withColumn("sorted", F.array_sort("prefix"))
     described = cut(described.select("gid", "label", "n", "v", "sorted", F.size("v").alias("width")), "prefixes")
-    short = F.expr("transform(sequence(0, size(sorted) - 1), i -> sorted[i])")  # fewer pivots than PREFIX
-    listed = described.withColumn("sorted", short).withColumn("pair", F.explode(pairs)).where("pair.p is not null and pair.q is not null")
+    # A length that fewer vectors than PREFIX have has shorter prefixes.
+    listed = described.withColumn("pair", F.explode(pairs)).where("pair.p is not null and pair.q is not null")
     listed = listed.select("gid", "label", "n", "v", "sorted", "width", "pair.p", "pair.q")
 
     key = ["label", "width", "p", "q"]
