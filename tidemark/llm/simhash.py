@@ -65,7 +65,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
 
 
 def distance(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
-    return np.bitwise_count(np.bitwise_xor(a, b)).astype(np.int16)
+    # Unsigned: of a negative number bitwise_count counts the absolute value's bits.
+    return np.bitwise_count(np.bitwise_xor(a, b).view(np.uint64)).astype(np.int16)
 
 
 def split(points: np.ndarray, rng: np.random.Generator) -> tuple[int, int] | None:
