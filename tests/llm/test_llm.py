@@ -171,6 +171,13 @@ def test_decontam_awkward(spark, docs, none):
     assert decontam.matches(docs, none.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
 
 
+def test_decontam_stage_tells_unnamed_rows_apart(spark, real):
+    text = real["benchmark"].first()["text"]
+    rows = [(1, "clean words of no account at all, not one of them"), (2, f"before {text} after"), (None, f"a {text}"), (None, "clean and unnamed, as it is"), (None, None)]
+    got = decontam.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in got if r["text"] in (rows[0][1], rows[3][1], None)) and len(got) == 3
+
+
 # 3. Licence scans
 
 

@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, table, text_chunks
@@ -243,9 +243,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    columns = docs.columns
-    bad = cut(matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    nulls = not bad.where("__bad is null").isEmpty()
-    out = docs.join(bad, docs["doc_id"] == bad["__bad"], "left_anti").select(*columns)
-    return out.where("doc_id is not null") if nulls else out
+    """Documents that hold no benchmark item.  Rows without an id are told apart by their text."""
+    columns, items = docs.columns, table(spark, sf_dir, "benchmark")
+
+    def clean(rows: DataFrame, key: Column) -> DataFrame:
+        keyed = rows.select("*", key.alias("__key"))
+        bad = cut(matches(keyed, items, id_col="__key").select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
+        return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").select(*columns)
+
+    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    out = clean(named, F.col("doc_id"))
+    if unnamed.isEmpty():
+        return out
+    return out.unionByName(clean(unnamed, F.xxhash64("text")))
