@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import table, text_chunks
 
 BITS = 20  # of an id in a pair
-STORE_CHUNKS = 500_000  # chunks that a worker remembers before it starts afresh
+STORE_CHUNKS = 300_000  # chunks that a worker remembers before it starts afresh
 # White_Space of Unicode, which \s means in the tokenizers library; str.split() also takes \x1c-\x1f.
 SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
 ODD = regex.compile("[\x1c-\x1f]")
