@@ -56,7 +56,8 @@ def ndjson(spark: SparkSession, path: str | list[str], schema: StructType) -> Da
 def ndjson_with_quarantine(spark: SparkSession, path: str | list[str], schema: StructType) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad lines with their file): one bad line withholds its whole file."""
     wide = StructType([*schema.fields]).add("_corrupt_record", "string")
-    raw = spark.read.schema(wide).option("mode", "PERMISSIVE").json(path).withColumn("file_path", F.input_file_name())
+    lines = spark.read.text(path).where("trim(value) <> ''").select("value", F.input_file_name().alias("file_path"))
+    raw = lines.select("file_path", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("file_path", "r.*")
     bad = raw.where("_corrupt_record is not null").select("file_path", "_corrupt_record")
     good = raw.where("_corrupt_record is null").drop("_corrupt_record").join(bad.select("file_path").distinct(), "file_path", "left_anti")
     return good, bad
