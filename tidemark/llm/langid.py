@@ -112,7 +112,7 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang", dim: int = D
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             names = batch.column(1).to_pylist()
-            for start, texts in text_chunks(batch.column(0), 4 * CHUNK_BYTES, 4 * CHUNK_ROWS):
+            for start, texts in text_chunks(batch.column(0), CHUNK_BYTES, CHUNK_ROWS):
                 own = names[start : start + len(texts)]
                 langs = sorted(set(own))
                 at = {k: i for i, k in enumerate(langs)}
