@@ -157,6 +157,29 @@ def test_decontam_equals_containment(spark, real):
     assert want and got == want
 
 
+def test_decontam_finds_capitals_and_titles(spark):
+    item = "La casa de los niños está lejos, y el río Émeraude no tiene agua en verano. Nadie lo sabe."
+    items = spark.createDataFrame([(1, item), (2, "Ada Byron met Émile Zola near 12 old bridges in the quiet town of Arles")], "item_id long, text string")
+    rows = [
+        (1, f"before it {item.upper()}!! after it"),
+        (2, f"plain words, {item.title()}"),
+        (3, "!! ".join(item.upper().split())),
+        (4, "who said Mary Shelley met Jean Giono near 30 old bridges in the quiet town of Nîmes"),
+        (5, "LA CASA DE LOS OTROS NO ESTÁ LEJOS, Y TODO LO DEMÁS SON OTRAS PALABRAS EN OTRO ORDEN."),
+    ]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 2)}
+
+
+def test_decontam_equals_containment_without_case(spark):
+    folder = "/root/testdata/sf0.1"
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.op2_decontamination(spark, folder).collect()}
+    d, b = (spark.read.parquet(f"{folder}/{t}.parquet").toPandas() for t in ("documents", "benchmark"))
+    texts = d.text.fillna("").str.lower()
+    want = {(i, k) for k, s in zip(b.item_id, b.text.str.lower(), strict=True) for i in d.doc_id[texts.str.contains(s, regex=False)]}
+    assert want and got >= want and len(got - want) <= len(want) // 10
+
+
 def test_decontam_without_the_bitmap(spark, real, monkeypatch):
     with_map = sorted(map(tuple, decontam.matches(real["documents"], real["benchmark"]).collect()))
     monkeypatch.setattr(decontam, "FILTER_WINDOWS", 1)

@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become templates: words lose case and outer punctuation; numbers, names (capitalised words
-inside a sentence) and units (after a number) become typed placeholders.  Windows of WINDOW template
+inside a sentence, at most NAME_WORDS in a row: passages in capitals or title case keep their words) and units (after a number) become typed placeholders.  Windows of WINDOW template
 tokens of the benchmark items are hashed; document windows are hash-joined with them.  An item is
 found in a document where the matched windows lie on one alignment, the slots along it are
 consistent (each value of the item stands for one value of the document), and the windows cover at
@@ -29,6 +29,7 @@ from tidemark.llm.common import cut, table, text_chunks
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
+NAME_WORDS = 4  # a longer run of capitalised words is a heading or shouting and holds no name
 FILTER_WINDOWS = 1 << 24  # up to so many benchmark windows a bitmap (of 16 bits each) filters documents' windows
 
 NUMBER = re.compile(rb"[+-]?[\d.,:/]*\d[\d.,:/]*(?:st|nd|rd|th)?")
@@ -57,6 +58,8 @@ _OUTER = np.zeros(256, bool)  # punctuation that is stripped off a word
 _OUTER[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[list(b"0123456789")] = True
+_LETTER = np.zeros(256, bool)  # ASCII letters, and the lead byte of Latin-1 letters
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ\xc3")] = True
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?:|")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -83,7 +86,7 @@ class Templates:
     """The words of a batch of texts as templates: for each word its text, its place, its hash (of the
     placeholder, where it is a slot) and its kind.  The case of ASCII and Latin-1 letters is folded."""
 
-    def __init__(self, texts: list[bytes | None]):
+    def __init__(self, texts: list[bytes | None], names: bool = True):
         self.raw = b"\n".join(t or b"" for t in texts) + b"\n"
         x = np.frombuffer(self.raw, np.uint8)
         first = np.cumsum([0, *(len(t or b"") + 1 for t in texts[:-1])])
@@ -115,12 +118,24 @@ class Templates:
         ends = (stops[end] > stops[hi]) | (bare & (stops[end] > stops[start]))
         opens = np.concatenate([[True], ends[:-1] | (lines[start[1:]] > lines[end[:-1]])])
         capital = (low[lo] != x[lo]) | (latin[np.minimum(lo + 1, len(x) - 1)] & (x[lo] == 0xC3))
-        self.kind[capital & ~opens] = _NAME
+        if names:
+            self.kind[capital & ~opens & ~self.headings(capital, _LETTER[x[lo]])] = _NAME
         self.kind[number] = _NUM
         follows = np.flatnonzero(np.concatenate([[False], number[:-1] & (self.doc[1:] == self.doc[:-1])]) & ~number)
         self.kind[follows[np.isin(self.hash[follows], _hash_words(UNITS))]] = _UNIT
         self.hash = np.where(self.kind == _LITERAL, self.hash, _TYPE_HASH[self.kind])
 
+    def headings(self, capital: np.ndarray, lettered: np.ndarray) -> np.ndarray:
+        """Which words lie in a run of more than NAME_WORDS capitalised words of one text; words without a letter
+        at their start neither count nor end a run."""
+        at = np.flatnonzero(lettered)
+        out = np.zeros(len(capital), bool)
+        if len(at):
+            turns = (capital[at[1:]] != capital[at[:-1]]) | (self.doc[at[1:]] != self.doc[at[:-1]])
+            run = np.concatenate([[0], np.cumsum(turns)])
+            out[at] = capital[at] & (np.bincount(run)[run] > NAME_WORDS)
+        return out
+
     @staticmethod
     def hashes(low: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Polynomial hashes of the slices [lo, hi) of low, mixed."""
@@ -154,7 +169,8 @@ def _hash_words(words: list[bytes]) -> np.ndarray:
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, total, size, hash, at, slots) for each window of each item."""
+    """(item_id, total, size, hash, at, slots) for each window of each item; a window with names is there
+    a second time with their words, as a passage in capitals or title case has them."""
     arrow = pa.schema([("item_id", pa.int64()), ("total", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +182,11 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "te
                 if size < MIN_LITERALS:
                     continue
                 starts, found = t.windows(size)
-                out += [(item, len(starts), size, h, s, t.slots(s, size)) for s, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True)]
+                own = dict(zip(starts.tolist(), found.view(np.int64).tolist(), strict=True))
+                out += [(item, len(own), size, h, s, t.slots(s, size)) for s, h in own.items()]
+                plain = Templates([value], names=False)
+                starts, found = plain.windows(size)
+                out += [(item, len(own), size, h, s, plain.slots(s, size)) for s, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True) if own.get(s, h) != h]
             yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r, strict=True)) for r in out], schema=arrow)
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).where("text is not null").distinct()
