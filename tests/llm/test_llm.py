@@ -297,6 +297,33 @@ def test_simhash_awkward(spark, docs, none):
     assert simhash.stage(spark, none, FOLDER).count() == 0
 
 
+def test_stage_finds_similar_texts(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, sets = [], []
+    for _ in range(60):
+        base = rng.choices(vocabulary, k=rng.choice([12, 60, 200, 600]))
+        for _ in range(3):
+            words = list(base)
+            for _ in range(rng.randrange(0, max(2, len(base) // 40))):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows) + i, t) for i, t in enumerate(["", None, "a b", "A  b"])]
+    for _, t in rows:
+        words = (t or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    close = [slow_fingerprint(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if (close[a] ^ close[b]).bit_count() <= 2 or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    got = simhash.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(root))
+    assert len(set(root)) < len(set(brute_components(range(len(rows)), close, 2)))
+
+
 # 5. Sharding
 
 

@@ -7,6 +7,10 @@ shard its distances lead to and is also sent, as a query, to every shard whose r
 compares exactly at the leaves.  So every pair within the radius meets in the home shard of either.
 Shards report spanning links only; the components of those are found in Spark.
 
+The pipeline's stage also takes texts as copies whose sets of five-word shingles are at least
+SIMILARITY alike.  Those lie up to 20 bits apart, where no tree prunes, so the stage finds candidates by
+bands of minimum hashes and compares the shingle sets themselves.
+
 Cases: a null text counts as empty; texts without a word have fingerprint 0 and link like others;
 equal fingerprints always link (distance 0); repeated rows stay, each with the same component;
 null ids never become a component id unless all ids of the component are null; other columns are
@@ -24,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, cut, table
+from tidemark.llm.common import connected_components, cut, table, text_chunks
 
 WORDS = 3
 RADIUS = 2
@@ -32,22 +36,37 @@ SEED = 42
 SAMPLE = 8192  # points from which the driver grows the top of the tree
 SHARD_POINTS = 8192
 LEAF = 64
+STAGE_WORDS = 5
+SIMILARITY = 0.8  # Jaccard similarity of the sets of STAGE_WORDS shingles from which the stage takes texts as copies
+BANDS, ROWS = 40, 8  # a pair at SIMILARITY shares a band with probability 1 - (1 - 0.8**8)**40 = 0.9994
 
+_rng = np.random.default_rng(SEED)
+_SLOPE, _SHIFT = _rng.integers(0, 1 << 32, (2, BANDS * ROWS), np.uint32) | np.array([[1], [0]], np.uint32)
+_BAND_ODD = _rng.integers(0, 1 << 64, ROWS + 1, np.uint64) | np.uint64(1)
 
-def fingerprint(text: bytes | None, words: int = WORDS) -> int:
-    """SimHash of the text's word shingles, as an unsigned integer."""
+
+def shingles(text: bytes | None, words: int) -> Iterator[np.ndarray]:
+    """Digests of the text's word shingles, as rows of 8 bytes, in bounded blocks; a shorter text is one shingle."""
     parts = (text or b"").lower().split()  # bytes: A-Z only, and \x20 \x09-\x0D only
     if not parts:
-        return 0
+        return
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     n = max(1, len(parts) - words + 1)
     first = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
     last = ends[min(words, len(parts)) - 1 :].tolist()
-    digest, counts = xxhash.xxh64_digest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_digest
     for lo in range(0, n, 1 << 15):
         raw = b"".join([digest(joined[a:b], SEED) for a, b in zip(first[lo : lo + (1 << 15)], last[lo : lo + (1 << 15)], strict=True)])
-        counts += np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        yield np.frombuffer(raw, np.uint8).reshape(-1, 8)
+
+
+def fingerprint(text: bytes | None, words: int = WORDS) -> int:
+    """SimHash of the text's word shingles, as an unsigned integer."""
+    counts, n = np.zeros(64, np.int64), 0
+    for raw in shingles(text, words):
+        counts += np.unpackbits(raw, axis=1).sum(0, dtype=np.int64)
+        n += len(raw)
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
@@ -211,12 +230,113 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def shingle_set(text: bytes | None, words: int = STAGE_WORDS) -> np.ndarray:
+    found = [np.unique(raw.copy().view(np.uint64).ravel()) for raw in shingles(text, words)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+
+def node(text: bytes | None) -> int:
+    """Digest of the text's words, as a signed integer."""
+    return int.from_bytes(xxhash.xxh64_digest(b" ".join((text or b"").lower().split()), SEED), "big", signed=True)
+
+
+def band_keys(members: np.ndarray) -> np.ndarray:
+    """BANDS keys of a shingle set; two sets share each with the probability similarity**ROWS."""
+    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    short = (members >> np.uint64(32)).astype(np.uint32)
+    for lo in range(0, len(short), 512):
+        np.minimum(least, (_SLOPE * short[lo : lo + 512, None] + _SHIFT).min(0), out=least)
+    keys = (least.reshape(BANDS, ROWS).astype(np.uint64) * _BAND_ODD[1 : ROWS + 1]).sum(1, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _BAND_ODD[0]
+    keys ^= keys >> np.uint64(31)
+    return (keys * _BAND_ODD[1]).view(np.int64)
+
+
+def similar_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, points, links): rows has each row's doc_id and node, the digest of its words; points has each node's
+    least doc_id; links (a, b) connect the nodes within RADIUS bits and those whose shingle sets are similar.  Nodes
+    that share a band are connected already or compared exactly: first with the least node of the band, then, where
+    that leaves a band with several components, with the nodes of the other components."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in text_chunks(batch.column(1), 1 << 22, 1024):
+                sets = [shingle_set(t) for t in texts]
+                keys = np.concatenate([band_keys(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(start, len(texts)),
+                        pa.array([node(t) for t in texts], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int32()),
+                        pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(keys)),
+                    ],
+                    names=["doc_id", "node", "n", "fp", "bands"],
+                )
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in text_chunks(batch.column(0), 1 << 22, 1024):
+                sets = [shingle_set(t).view(np.int64) for t in texts]
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                columns = [pa.array([node(t) for t in texts], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "members"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = cut(texts.mapInArrow(each, "doc_id long, node long, n int, fp long, bands array<long>"), "bands")
+    points = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "points")
+    close = connected_components(shard_links(points.select("fp").distinct(), RADIUS)).withColumnRenamed("node", "fp")
+    groups = cut(points.join(close, "fp", "left").select("node", F.coalesce("root", "fp").alias("group")), "close-groups")
+    heads = groups.groupBy("group").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last")
+    within = cut(groups.join(heads, "group").select(F.col("node").alias("a"), "b").where("a <> b"), "close-links")
+    keys = points.select("node", "n", F.explode("bands").alias("key"))
+    bands = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.max("node").alias("last")).where("lead.node <> last")
+    shared = cut(keys.join(bands.select("key", "lead"), "key"), "shared-bands")
+
+    wanted = shared.select("node").distinct().join(points, "node").select("node", "least")
+    held = texts.join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = held.mapInArrow(sets_of, "node long, members array<long>").dropDuplicates(["node"])
+    sets = cut(sets.join(wanted.select("node"), "node", "left_semi"), "shingle-sets")
+
+    def similar(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = pairs.where(F.col("a") != F.col("b")).where(F.least("na", "nb") >= F.greatest("na", "nb") * SIMILARITY).select("a", "b").distinct()
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+        both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
+        met = F.size(F.array_intersect("x", "y"))
+        return cut(both.where(met >= SIMILARITY * (F.size("x") + F.size("y") - met)).select("a", "b"), name)
+
+    def rooted(links: DataFrame) -> DataFrame:
+        found = connected_components(links).withColumnRenamed("root", "found")
+        return shared.join(found, "node", "left").select("key", "node", "n", "lead", F.coalesce("found", "node").alias("root"))
+
+    head = within.withColumnRenamed("a", "node").withColumnRenamed("b", "head")
+    led = shared.join(head, "node", "left").select(F.col("node").alias("a"), "head", F.col("n").alias("na"), F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))
+    links = cut(within.unionByName(similar(led.where("head is null or head <> b"), "led-links")), "links")
+    marked = cut(rooted(links), "marked-bands")
+    mixed = marked.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    mixed = cut(marked.join(mixed, "key", "left_semi"), "mixed-bands")
+    x = mixed.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    y = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    more = x.join(y, "key").where("a < b and ra <> rb")
+    return rows.select("doc_id", "node"), points.select("node", "least"), links.unionByName(similar(more, "mixed-links"))
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, component_id) of every row of docs, over links of close fingerprints and of similar shingle sets."""
+    rows, points, links = similar_links(docs)
+    found = connected_components(links)
+    joined = points.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    joined = cut(joined, "rooted")
+    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = cut(joined.join(ids, "root").select("node", "component_id"), "named")
+    return rows.join(named, "node").select("doc_id", "component_id")
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the smallest doc_id, of rows that repeat it the least in
+    """One document of each component of close or similar texts: the one with the smallest doc_id, of rows that repeat it the least in
     column order.  Rows without an id can't be named by a component and stay."""
     del spark, sf_dir
     columns = docs.columns
-    kept = components(docs.where("doc_id is not null")).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = similar_components(docs.where("doc_id is not null")).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     out = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
     out = out.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
     return out.unionByName(docs.where("doc_id is null"))
