@@ -186,6 +186,27 @@ def test_decontam_without_the_bitmap(spark, real, monkeypatch):
     assert sorted(map(tuple, decontam.matches(real["documents"], real["benchmark"]).collect())) == with_map
 
 
+def test_decontam_finds_long_runs_and_copies_with_a_slip(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    plain = [[word() for _ in range(n)] for n in (59, 400)]
+    slip = [word() for _ in range(70)]
+    for i in (10, 35, 60):
+        slip[i] = "Tom"
+    items = [*plain, slip]
+    other = [word() for _ in range(30)]
+    rows = [
+        (1, other + plain[0][:29] + other[::-1]),
+        (2, other + plain[1][150:250] + other[::-1]),
+        (3, slip[:35] + ["Tim"] + slip[36:]),
+        (4, other + plain[1][150:172] + other[::-1]),  # 22 words are too few
+    ]
+    items = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    rows = spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["n_matched"] for r in decontam.matches(rows, items).collect()}
+    assert got == {(1, 0): 22, (2, 1): 93, (3, 2): 63 - 8}
+
+
 def test_decontam_awkward(spark, docs, none):
     items = spark.createDataFrame([(1, ENGLISH), (2, GERMAN)], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, items).collect()}

@@ -5,7 +5,9 @@ inside a sentence, at most NAME_WORDS in a row: passages in capitals or title ca
 tokens of the benchmark items are hashed; document windows are hash-joined with them.  An item is
 found in a document where the matched windows lie on one alignment, the slots along it are
 consistent (each value of the item stands for one value of the document), and the windows cover at
-least MIN_COVERAGE of the item.  A re-parameterised question so matches with other slot values.
+least MIN_COVERAGE of the item or hold a run of MIN_RUN of its windows, however long it is.  A
+re-parameterised question so matches with other slot values.  Of an alignment with inconsistent
+slots the windows with unchanged values count.
 
 Cases: null or empty texts have no windows; items of fewer than MIN_LITERALS literal words say too
 little to be found and never are; shorter items than a window are one window of their own length; a
@@ -29,6 +31,7 @@ from tidemark.llm.common import cut, table, text_chunks
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
+MIN_RUN = 16  # consecutive windows of an item, 23 words or more, that suffice
 NAME_WORDS = 4  # a longer run of capitalised words is a heading or shouting and holds no name
 FILTER_WINDOWS = 1 << 24  # up to so many benchmark windows a bitmap (of 16 bits each) filters documents' windows
 
@@ -169,9 +172,9 @@ def _hash_words(words: list[bytes]) -> np.ndarray:
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, total, size, hash, at, slots) for each window of each item; a window with names is there
+    """(item_id, total, size, hash, at, place, slots) for each window of each item; a window with names is there
     a second time with their words, as a passage in capitals or title case has them."""
-    arrow = pa.schema([("item_id", pa.int64()), ("total", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))])
+    arrow = pa.schema([("item_id", pa.int64()), ("total", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("at", pa.int32()), ("place", pa.int32()), ("slots", pa.list_(pa.string()))])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,14 +186,15 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "te
                     continue
                 starts, found = t.windows(size)
                 own = dict(zip(starts.tolist(), found.view(np.int64).tolist(), strict=True))
-                out += [(item, len(own), size, h, s, t.slots(s, size)) for s, h in own.items()]
+                place = {s: i for i, s in enumerate(own)}
+                out += [(item, len(own), size, h, s, place[s], t.slots(s, size)) for s, h in own.items()]
                 plain = Templates([value], names=False)
                 starts, found = plain.windows(size)
-                out += [(item, len(own), size, h, s, plain.slots(s, size)) for s, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True) if own.get(s, h) != h]
+                out += [(item, len(own), size, h, s, place[s], plain.slots(s, size)) for s, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True) if own.get(s, h) != h]
             yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r, strict=True)) for r in out], schema=arrow)
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).where("text is not null").distinct()
-    return rows.mapInArrow(each, "item_id long, total int, size int, hash long, at int, slots array<string>")
+    return rows.mapInArrow(each, "item_id long, total int, size int, hash long, at int, place int, slots array<string>")
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
@@ -240,23 +244,36 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     seen = rows.mapInArrow(each, "doc_id long, size int, hash long, pos int, doc_slots array<string>")
     pairs = seen.join(windows, ["size", "hash"]).select(
-        "doc_id", "item_id", "total", "at", (F.col("pos") - F.col("at")).alias("diagonal"), F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other")).alias("pairs")
+        "doc_id", "item_id", "total", "place", (F.col("pos") - F.col("at")).alias("diagonal"), F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other")).alias("pairs")
     )
     # One alignment has at most the item's windows, so what it collects is bounded by the item.
-    aligned = pairs.groupBy("doc_id", "item_id", "total", "diagonal").agg(
-        F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    consistent = aligned.where(F.size("pairs") == F.size(F.array_distinct("pairs.own")))
-    changed = F.size(F.filter("pairs", lambda p: p["own"] != p["other"]))
+    windows_at = F.collect_set(F.struct("place", "pairs"))
+    aligned = pairs.groupBy("doc_id", "item_id", "total", "diagonal").agg(windows_at.alias("held"))
+    aligned = aligned.withColumn("values", F.array_distinct(F.flatten("held.pairs")))
+    consistent = F.size("values") == F.size(F.array_distinct("values.own"))
+    unchanged = F.filter("held", lambda w: F.forall(w["pairs"], lambda p: p["own"] == p["other"]))
+    kept = aligned.withColumn("held", F.when(consistent, F.col("held")).otherwise(unchanged)).where(F.size("held") > 0)
+    changed = F.size(F.filter(F.array_distinct(F.flatten("held.pairs")), lambda p: p["own"] != p["other"]))
     return (
-        consistent.select("doc_id", "item_id", "total", F.explode("at").alias("at"), changed.alias("changed"))
+        kept.select("doc_id", "item_id", "total", F.explode(F.array_distinct("held.place")).alias("place"), longest_run(F.col("held.place")).alias("run"), changed.alias("changed"))
         .groupBy("doc_id", "item_id", "total")
-        .agg(F.countDistinct("at").alias("n_matched"), F.max("changed").alias("changed_slots"))
+        .agg(F.countDistinct("place").alias("n_matched"), F.max("changed").alias("changed_slots"), F.max("run").alias("run"))
+        .where((F.col("n_matched") / F.col("total") >= min_coverage) | (F.col("run") >= MIN_RUN))
         .select("doc_id", "item_id", F.col("total").cast("long").alias("n_windows"), "n_matched", (F.col("n_matched") / F.col("total")).alias("coverage"), F.col("changed_slots").cast("long").alias("changed_slots"))
-        .where(F.col("coverage") >= min_coverage)
     )
 
 
+def longest_run(places: Column) -> Column:
+    """The length of the longest run of consecutive numbers in an array."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best"))
+
+    def step(a: Column, x: Column) -> Column:
+        n = F.when(x == a["last"] + 1, a["n"] + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), n.alias("n"), F.greatest(a["best"], n).alias("best"))
+
+    return F.aggregate(F.array_sort(F.array_distinct(places)), start, step, lambda a: a["best"])
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold benchmark items, one row per document and item."""
     return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
