@@ -502,6 +502,16 @@ def test_formats_links_and_clean_texts(spark):
     assert got[3:] == texts[3:]
 
 
+def test_values_beside_each_other(spark):
+    one = ["123-45-6789", "345-67-8901", "555-123-4568", "555-765-4321", "2024-01-15", "555-123-4567", "4207-0512-7910-8084", "4207 0512 7910 8084", "4207 05 1279 10 8084"]
+    rows = [*((x,) for x in one), *((f"{a} {b}",) for a in one for b in one if "5 1279" not in a + b), ("8 12 4207 0512 7910 8084 12",), ("GB82 4207 0512 7910 8084",)]
+    got = {r["text"]: r["new"] for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "text string"), out="new").collect()}
+    assert all(got[x] != x for x in one)
+    assert all(got[f"{a} {b}"] == f"{got[a]} {got[b]}" for a in one for b in one if f"{a} {b}" in got)
+    assert got["GB82 4207 0512 7910 8084"] == f"GB82 {got['4207 0512 7910 8084']}"
+    assert got["8 12 4207 0512 7910 8084 12"] == f"8 12 {got['4207 0512 7910 8084']} 12"
+
+
 def test_pii_awkward(spark, docs, none):
     got = pseudonyms.stage(spark, docs, FOLDER)
     assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType

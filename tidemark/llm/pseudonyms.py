@@ -10,6 +10,9 @@ Kinds: email (local part; letters stay letters, digits digits), iban and card (c
 anew), ip, date (1900 to 2099), ssn, phone.  The formats' fixed parts (separators, domains, country,
 first card digit) stay.
 
+Texts are searched three times, so that a stretch which fails validation hides no smaller value: for all
+kinds, with cards as they are grouped; in what failed, for all kinds but iban; in what is left, for cards of any grouping.
+
 Cases: null texts stay null; texts without a value, and values that fail validation, stay as they
 are; texts are used whole, and repeated rows stay repeated; other columns pass unread.
 """
@@ -35,7 +38,12 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?:(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5})(?![0-9A-Za-z])",
 }
-ANY = "|".join(PATTERNS.values())
+#: Cards in the groups that cards have; a last short group is one only if no other number follows.
+GROUPED = "|".join(f"[0-9]{{4}}(?:{s}[0-9]{{4}}){{3}}TAIL|[0-9]{{4}}{s}[0-9]{{6}}{s}[0-9]{{4,5}}|[0-9]{{4}}{s}[0-9]{{4}}{s}[0-9]{{5}}".replace("TAIL", f"(?:{s}[0-9]{{1,3}}(?![ .-]?[0-9]))?") for s in " -")
+_CARD = r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|" + GROUPED + ")(?![A-Za-z0-9])"
+_BARE_CARD = r"(?<![A-Za-z0-9])[0-9]{4}(?:[ -][0-9]{4}){3}(?![A-Za-z0-9])"
+ANY = "|".join((PATTERNS | {"card": _CARD}).values())
+AGAIN = "|".join(v for k, v in (PATTERNS | {"card": _BARE_CARD}).items() if k != "iban")
 # A text without these holds none of the kinds.
 HINT = r"@|[0-9][0-9]|[0-9][.][0-9]+[.][0-9]"
 
@@ -75,7 +83,7 @@ def _spell(values: str, like: str) -> str:
 
 
 def found(text: str, key: str = KEY) -> str:
-    """SQL: for each match in text, in order, a struct of kind (null if it fails validation) and out."""
+    """SQL: the pieces of text, in order, each a struct of kind (null for text that is no valid value) and out."""
     digits = _DIGITS.format(m="m")
     kind = " ".join(f"when m rlike r'^(?:{p})$' then '{k}'" for k, p in PATTERNS.items())
     bare = "replace(m, ' ', '')"
@@ -133,8 +141,19 @@ def found(text: str, key: str = KEY) -> str:
     def step(over: str, **fields: str) -> str:
         return f"transform({over}, z -> named_struct({', '.join(f'{chr(39)}{k}{chr(39)}, {_rename(v, names)}' for k, v in fields.items())}))"
 
-    sql = f"transform(regexp_extract_all({text}, r'{ANY}', 0), m -> named_struct('m', m, 'kind', case {kind} end, 'd', {digits}))"
-    sql = step(sql, m="m", kind=f"if({valid}, kind, null)", d="d")
+    def search(pieces: str, pattern: str, among: str) -> str:
+        """The pieces x for which among holds, taken apart at the matches of pattern."""
+        hits = f"transform(regexp_extract_all(x.m, r'{pattern}', 0), m -> named_struct('m', m, 'kind', case {kind} end, 'd', {digits}))"
+        hits = step(hits, m="m", kind=f"if({valid}, kind, null)", hit="true")
+        gap = "named_struct('m', g, 'kind', cast(null as string), 'hit', false)"
+        parts = f"flatten(zip_with(split(x.m, r'{pattern}', -1), {hits}, (g, r) -> if(r is null, array({gap}), array({gap}, r))))"
+        return f"flatten(transform({pieces}, x -> if(x.kind is null and {among}, {parts}, array(x))))"
+
+    sql = f"array(named_struct('m', {text}, 'kind', cast(null as string), 'hit', false))"
+    sql = search(sql, ANY, "true")
+    sql = search(sql, AGAIN, "x.hit")
+    sql = search(sql, PATTERNS["card"], f"x.m rlike r'{PATTERNS['card']}'")
+    sql = step(sql, m="m", kind="kind", d=f"if(kind is null, {_EMPTY}, {digits})")
     sql = step(sql, m="m", kind="kind", d="d", u=values, w=moduli)
     sql = step(sql, m="m", kind="kind", d="d", w="w", p=f"if(kind is null, u, {new})")
     return step(sql, kind="kind", out=out)
@@ -151,11 +170,11 @@ def _rename(sql: str, names: dict[str, str]) -> str:
 
 
 def pseudonymise(docs: DataFrame, text: str = "text", out: str = "text", key: str = KEY) -> DataFrame:
-    """docs with the column out (the text with pseudonyms) and pii (a list of kind and out)."""
+    """docs with the column out (the text with pseudonyms) and pii (the text's pieces, with kind and out)."""
     source = f"cast(`{text}` as string)"
     pii = f"if({source} rlike '{HINT}', {found(source, key)}, null)"
     marked = docs.withColumn("__pii", F.expr(pii))
-    joined = f"array_join(flatten(zip_with(split({source}, r'{ANY}', -1), __pii, (g, r) -> array(g, coalesce(r.out, '')))), '')"
+    joined = "array_join(transform(__pii, r -> r.out), '')"
     new = F.expr(f"if(size(__pii) > 0, {joined}, {source})")
     return marked.withColumn(out, new)
 
