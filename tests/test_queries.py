@@ -39,6 +39,15 @@ def test_equals_sql(spark, con, name):
     assert rows(got) == rows(want)
 
 
+def test_stream_takes_files_in_any_order(spark, con, tmp_path):
+    (tmp_path / "events.parquet").mkdir()
+    for k in (3, 0, 2, 1):  # quarters of the rows by time
+        part = f"SELECT * EXCLUDE q FROM (SELECT *, ntile(4) OVER (ORDER BY ts) - 1 AS q FROM events) WHERE q = {k}"
+        con.sql(f"COPY ({part}) TO '{tmp_path}/events.parquet/{k}.parquet'")
+    got = registry.QUERIES["stream_equals_batch"](spark, str(tmp_path), files_per_batch=1).toPandas()
+    assert rows(got) == rows(con.sql(registry.ORACLE_SQL["stream_equals_batch"]).df())
+
+
 def test_entry(spark):
     import __spark_entry__
 

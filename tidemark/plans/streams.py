@@ -11,8 +11,8 @@ from tidemark.streaming import incremental as I  # noqa: E741
 
 @query("""
 SELECT epoch_us(ts) // 3600000000 * 3600 AS hour_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
-def stream_equals_batch(spark, d):
-    """STR-01, STR-06: tumbling hours by Structured Streaming over the file, collected batch by batch."""
+def stream_equals_batch(spark, d, files_per_batch=1000):
+    """STR-01, STR-06: tumbling hours by Structured Streaming over the files, in any order of time, collected batch by batch."""
     schema = table(spark, d, "events").schema
     root = I.state_dir(spark)
     out = f"{root}/out"
@@ -20,7 +20,7 @@ def stream_equals_batch(spark, d):
     def each(batch, number):
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    totals = I.hourly_totals(I.file_stream(spark, f"{d}/events.parquet*", schema))
+    totals = I.hourly_totals(I.file_stream(spark, f"{d}/events.parquet*", schema, files_per_batch), lateness=None)
     start = F.unix_seconds(F.col("w.start"))
     stream = totals.select(start.alias("hour_start"), "event_type", "n", F.round("total", 4).alias("total"))
     writer = stream.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)

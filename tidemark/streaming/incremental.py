@@ -32,11 +32,14 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     query.awaitTermination()
 
 
-def hourly_totals(events: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Tumbling hours of an event stream (ts, event_type, value); an hour closes `lateness` after its end."""
+def hourly_totals(events: DataFrame, lateness: str | None = "2 hours") -> DataFrame:
+    """Tumbling hours of an event stream (ts, event_type, value); an hour closes `lateness` after its end, or never
+    if that is None: then rows in any order count, and the state holds all hours."""
     # The watermark needs an instant; a time without zone counts as UTC.
     at = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
-    rows = events.withColumn("at", at).withWatermark("at", lateness)
+    rows = events.withColumn("at", at)
+    if lateness is not None:
+        rows = rows.withWatermark("at", lateness)
     return rows.groupBy(F.window("at", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
