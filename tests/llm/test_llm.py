@@ -118,6 +118,17 @@ def test_langid_awkward(spark, docs, none):
     assert nothing.langs == () and {r["lang_pred"] for r in langid.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_langid_stage_rejects_noise(spark, real):
+    rng = random.Random(3)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x430, 0x450))), "".join(map(chr, range(0x4E00, 0x4F00)))]
+    noise = [" ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(120)) for a in alphabets for _ in range(10)]
+    extra = [(1_000_000 + i, t, None, "noise", len(t)) for i, t in enumerate(noise)]
+    docs = real["documents"]
+    got = langid.stage(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), FOLDER)
+    kept = {r["doc_id"] for r in got.select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
 # 2. Decontamination
 
 
@@ -625,6 +636,12 @@ def test_pipeline_against_brute_force(spark, real):
     assert not any("@" in d.text[i] and list(out.ids[i]) == codec.encode(d.text[i]) for i in d.index)
 
 
+def test_pipeline_decodes_what_it_encodes(spark, docs):
+    out = bpe.stage(spark, docs, FOLDER)
+    back = bpe.decode(out, bpe.vocabulary_path(), keep=("decoded_sha256",)).collect()
+    assert len(back) == len(AWKWARD) and all(hashlib.sha256(r["text_decoded"].encode()).hexdigest() == r["decoded_sha256"] for r in back)
+
+
 def test_pipeline_stages_awkward(spark, docs, none):
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, docs, FOLDER)

@@ -30,6 +30,9 @@ CHUNK_ROWS = 384
 WIDTH = 16  # dimensions in one row of a partial prototype
 DENSE_GRAMS = 1 << 22
 MAX_LANGUAGES = 4096
+CALIBRATION_ROWS = 4096  # learning rows, those of least hash, from whose beginnings the bars are set
+LEAST_SAMPLES = 64  # beginnings of one length that make a bar
+BAR_QUANTILE, BAR_SHARE = 0.01, 0.5
 
 
 @dataclass(frozen=True)
@@ -141,13 +144,51 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang", dim: int = D
     return Profiles(tuple(langs[i] for i in keep), (matrix[keep] / length[keep, None]), dim, seed)
 
 
-def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns keep of docs, with lang_pred and score (the cosine, at least 0)."""
+def letters(text: bytes | None) -> np.ndarray:
+    """Positions of the letters of the text, each the middle of a trigram."""
+    codes = np.frombuffer((text or b"").decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
+    return np.flatnonzero(is_letter()[codes])
+
+
+def bars(docs: DataFrame, profiles: Profiles, text: str = "text", label: str = "lang") -> list[float]:
+    """The least score of a text of 2**k to 2**(k + 1) - 1 letters, for each k: BAR_SHARE of the BAR_QUANTILE of
+    the scores that beginnings of learning rows have at 2**k letters.  Lengths that too few rows have take the
+    bar of the length before; the first ones have 0."""
+
+    def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column(0).cast(pa.large_binary()).to_pylist():
+                at, decoded = letters(value), value.decode("utf-8", "replace")
+                ks = range(len(at).bit_length())
+                yield pa.RecordBatch.from_arrays([pa.array([decoded[: at[(1 << k) - 1] + 1] for k in ks], pa.string()), pa.array(ks, pa.int32())], names=["text", "k"])
+
+    rows = docs.select(F.col(text).cast("string").alias("text")).where(f"{label} is not null and text is not null")
+    rows = rows.orderBy(F.xxhash64("text"), "text").limit(CALIBRATION_ROWS).mapInArrow(beginnings, "text string, k int")
+    scored = predict(rows, profiles, keep=("k",)).groupBy("k").agg(F.count("*").alias("n"), F.percentile("score", F.lit(BAR_QUANTILE)).alias("low"))
+    found = {x["k"]: x["low"] * BAR_SHARE for x in scored.collect() if x["n"] >= LEAST_SAMPLES}
+    out: list[float] = []
+    for k in range(max(found, default=0) + 1):
+        out.append(found.get(k, out[-1] if out else 0.0))
+    return out
+
+
+def recognised(docs: DataFrame, profiles: Profiles, least: list[float], keep: tuple[str, ...]) -> DataFrame:
+    """The columns keep and lang_pred of the documents whose score is above 0 and at least the bar of their length."""
+    out = predict(docs, profiles, keep=keep, counted=True)
+    place = F.least(F.floor(F.log2(F.greatest(F.col("n_letters"), F.lit(1)))).cast("int"), F.lit(len(least) - 1))
+    bar = F.get(F.array(*map(F.lit, least)), place)
+    return out.where((F.col("lang_pred") != "und") & (F.col("score") > 0) & (F.col("score") >= bar)).drop("score", "n_letters")
+
+
+def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_id",), text: str = "text", counted: bool = False) -> DataFrame:
+    """The columns keep of docs, with lang_pred and score (the cosine, at least 0), and if counted n_letters."""
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, n = [], [], []
             for _, texts in text_chunks(batch.column(0), CHUNK_BYTES, CHUNK_ROWS):
+                if counted:
+                    n += [len(letters(t)) for t in texts]
                 hv = bundles(texts, np.arange(len(texts)), len(texts), profiles.dim, profiles.seed)
                 length = np.linalg.norm(hv, axis=1)
                 if profiles.langs:
@@ -160,13 +201,13 @@ def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_i
                     langs += ["und"] * len(texts)
                     scores += [0.0] * len(texts)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[1:], "lang_pred", "score"],
+                [*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(n, pa.int64())] if counted else [])],
+                names=[*batch.schema.names[1:], "lang_pred", "score", *(["n_letters"] if counted else [])],
             )
 
     rows = docs.select(F.col(text).cast("string").alias("__text"), *keep)
     schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(guess, schema)
+    return rows.mapInArrow(guess, schema.add("n_letters", "long") if counted else schema)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,12 +220,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language: "und", and texts without likeness to any (cosine 0), go; a null
-    lang gets the prediction.  Short texts have low cosines too, so nothing else goes."""
+    """Documents with a recognised language: "und", and texts less like any than the bar of their length, go; a null
+    lang gets the prediction."""
     del spark, sf_dir
     columns = docs.columns
-    profiles = learn(docs.where(key_bucket("doc_id", 4) != 2))
+    known = docs.where(key_bucket("doc_id", 4) != 2)
+    profiles = learn(known)
     rows = docs.select(F.struct(*columns).alias("__row"), "text")
-    out = predict(rows, profiles, keep=("__row",)).where((F.col("lang_pred") != "und") & (F.col("score") > 0))
+    out = recognised(rows, profiles, bars(known, profiles), keep=("__row",))
     got = {c: F.col("__row")[c] for c in columns}
     return out.select(*(F.coalesce(got[c], "lang_pred").alias(c) if c == "lang" else got[c].alias(c) for c in columns))
