@@ -224,8 +224,8 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns keep, with ids (array of int) of the whole text."""
+def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", back: bool = False) -> DataFrame:
+    """The columns keep, with ids (array of int) of the whole text, and if back with the digest of the decoded ids."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,10 +235,15 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text
                 column = pa.ListArray.from_arrays(
                     pa.array([0, *_running(len(i) for i in ids)], pa.int32()), pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
                 )
-                yield pa.RecordBatch.from_arrays([*(c.slice(start, len(texts)) for c in batch.columns[1:]), column], names=[*batch.schema.names[1:], "ids"])
+                more = [pa.array([hashlib.sha256(g[1]).hexdigest() for g in got], pa.string())] if back else []
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(start, len(texts)) for c in batch.columns[1:]), column, *more],
+                    names=[*batch.schema.names[1:], "ids", *(["decoded_sha256"] if back else [])],
+                )
 
     rows = docs.select(F.col(text).cast("string").alias("__text"), *keep)
-    return rows.mapInArrow(each, rows.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType())))
+    schema = rows.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType()))
+    return rows.mapInArrow(each, schema.add("decoded_sha256", "string") if back else schema)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
@@ -287,6 +292,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: each document with its token ids."""
+    """The last stage: each document with its token ids and the digest of the text that they decode to."""
     del spark, sf_dir
-    return encode(docs, vocabulary_path(), keep=("doc_id", "lang", "source"))
+    return encode(docs, vocabulary_path(), keep=("doc_id", "lang", "source"), back=True)
