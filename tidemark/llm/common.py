@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
+import gc
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +24,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.  Where it is unset, a session whose executors run
+    in the driver gets a local folder; any other is refused, as its executors could not see each other's files."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is unset: {master} needs a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+#: Folders of the tables that cut() wrote and release() did not delete yet, with their sessions.
+_held: dict[str, SparkSession] = {}
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, so a lost
     executor costs no earlier stage, and the scan prunes columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _held[path] = spark
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_cut_path"] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that cut() wrote and nothing lazy reads any more."""
+    for t in tables:
+        _delete(t.__dict__["_cut_path"])
+
+
+def clear() -> None:
+    """Delete every table that cut() wrote; call it when the results are consumed.  The driver's exit does it too."""
+    for path in list(_held):
+        _delete(path)
+
+
+def _delete(path: str) -> None:
+    spark = _held.pop(path, None)
+    if spark is not None and spark.sparkContext._jsc is not None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+atexit.register(clear)
+
+
+def free_name(docs: DataFrame, base: str) -> str:
+    """base, made longer until no column of docs has that name."""
+    taken = {c.lower() for c in docs.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
 
 
 def key_bucket(id_col: str, modulus: int) -> Column:
@@ -41,16 +90,82 @@ def key_bucket(id_col: str, modulus: int) -> Column:
 def text_chunks(texts: pa.Array, max_bytes: int, max_rows: int) -> Iterator[tuple[int, list[bytes | None]]]:
     """(first row, UTF-8 texts) for slices of at most max_rows rows and about max_bytes bytes;
     a longer text stands alone, whole."""
-    values = texts.cast(pa.large_binary()).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+
+    def values(lo: int, hi: int) -> list[bytes | None]:
+        return texts.slice(lo, hi - lo).cast(pa.large_binary()).to_pylist()
+
     start, held = 0, 0
-    for i, v in enumerate(values):
-        n = len(v or b"")
+    for i, n in enumerate(lengths):
         if i > start and (held + n > max_bytes or i - start >= max_rows):
-            yield start, values[start:i]
+            yield start, values(start, i)
             start, held = i, 0
         held += n
-    if start < len(values):
-        yield start, values[start:]
+    if start < len(lengths):
+        yield start, values(start, len(lengths))
+
+
+def tidy(each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """each, but the worker gives the memory it freed back to the system at the end of the task: workers are
+    used again and again, and else keep the most that any task took."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from each(batches)
+        _power_table.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+            trim(0)
+
+    return run
+
+
+_BASE = 0x9E3779B97F4A7C15  # odd, so powers of it have inverses modulo 2**64
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=2)
+def _power_table(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return _power_table(base, 1 << n.bit_length())[:n]
+
+
+def word_hashes(raw: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the slices [lo, hi) of raw bytes, mixed."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(raw)))])
+    h = (sums[hi] - sums[lo]) * _powers(_INVERSE, len(raw) + 1)[lo]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+@dataclass(frozen=True)
+class HashFilter:
+    """A set of 64-bit hashes by their top log bits (7 at least), of which the 64-bit words that are not zero are kept: a test
+    without misses, of at most 2**(log - 3) bytes whatever the set."""
+
+    log: int
+    places: np.ndarray
+    words: np.ndarray
+
+    @staticmethod
+    def of(hashes: DataFrame, log: int) -> HashFilter:
+        """The filter of the column hash."""
+        word = f"cast(shiftrightunsigned(hash, {64 - log + 6}) as int) as word"
+        bit = f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - log}) & 63 as int)) as bit"
+        got = hashes.where("hash is not null").selectExpr(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+        return HashFilter(log, got["word"].to_numpy(np.int64), got["bits"].to_numpy(np.int64).view(np.uint64))
+
+    def bitmap(self) -> Callable[[np.ndarray], np.ndarray]:
+        """The test of an array of unsigned hashes."""
+        bits = np.zeros(1 << (self.log - 6), np.uint64)
+        bits[self.places] = self.words
+        return lambda h: bits[h >> np.uint64(64 - self.log + 6)] >> (h >> np.uint64(64 - self.log) & np.uint64(63)) & np.uint64(1) > 0
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -72,7 +187,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = cut(
+        before, large = e, cut(
             both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(),
             "large-star",
         )
@@ -85,6 +200,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .distinct()
         )
         e = cut(small, "small-star")
+        release(before, large)
         now = mark(e)
         if now == seen:
             break

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, cut, table
+from tidemark.llm.common import connected_components, cut, table, tidy
 from tidemark.llm.simhash import roots
 
 COSINE = 0.98
@@ -119,7 +119,7 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, "prefix"])
 
     described = points.select("v", "gid", "label", "n")
-    described = described.mapInArrow(describe, "v array<double>, gid long, label string, n long, prefix array<int>")
+    described = described.mapInArrow(tidy(describe), "v array<double>, gid long, label string, n long, prefix array<int>")
     pairs = F.array(*(F.struct(F.get("sorted", a).alias("p"), F.get("sorted", b).alias("q")) for a, b in combinations(range(PREFIX), 2)))
     described = described.withColumn("sorted", F.array_sort("prefix"))
     described = cut(described.select("gid", "label", "n", "v", "sorted", F.size("v").alias("width")), "prefixes")
@@ -187,7 +187,7 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     dealt = dealt.select(*names)
     dealt = dealt.repartition(*order).sortWithinPartitions(*order, "gid")
-    return dealt.mapInArrow(verify, "gid long, root long, links long")
+    return dealt.mapInArrow(tidy(verify), "gid long, root long, links long")
 
 
 def _changes(rows: pa.Table, keys: list[str]) -> np.ndarray:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, cut, table, text_chunks
+from tidemark.llm.common import connected_components, cut, table, text_chunks, tidy
 
 WORDS = 3
 RADIUS = 2
@@ -38,6 +38,8 @@ SHARD_POINTS = 8192
 LEAF = 64
 STAGE_WORDS = 5
 SIMILARITY = 0.8  # Jaccard similarity of the sets of STAGE_WORDS shingles from which the stage takes texts as copies
+BLOCK = 512  # nodes of a band that are compared in one run with those of another block
+SKETCH, MARGIN = 320, 0.15  # minimum hashes that estimate a similarity, and almost seven standard deviations of the estimate
 BANDS, ROWS = 40, 8  # a pair at SIMILARITY shares a band with probability 1 - (1 - 0.8**8)**40 = 0.9994
 
 _rng = np.random.default_rng(SEED)
@@ -80,7 +82,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(each, "doc_id long, fp long")
+    return rows.mapInArrow(tidy(each), "doc_id long, fp long")
 
 
 def distance(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
@@ -209,7 +211,7 @@ def shard_links(points: DataFrame, radius: int = RADIUS, shard_points: int = SHA
         moved = root != np.arange(len(root))
         return pd.DataFrame({"a": points[moved], "b": points[root[moved]]})
 
-    return points.select("fp").mapInArrow(deal, "shard int, fp long, home boolean").groupBy("shard").applyInPandas(search, "a long, b long")
+    return points.select("fp").mapInArrow(tidy(deal), "shard int, fp long, home boolean").groupBy("shard").applyInPandas(search, "a long, b long")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
@@ -240,37 +242,44 @@ def node(text: bytes | None) -> int:
     return int.from_bytes(xxhash.xxh64_digest(b" ".join((text or b"").lower().split()), SEED), "big", signed=True)
 
 
-def band_keys(members: np.ndarray) -> np.ndarray:
-    """BANDS keys of a shingle set; two sets share each with the probability similarity**ROWS."""
+def least_hashes(members: np.ndarray) -> np.ndarray:
+    """BANDS * ROWS minimum hashes of a shingle set; two sets agree in each with the probability of their similarity."""
     least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
     short = (members >> np.uint64(32)).astype(np.uint32)
     for lo in range(0, len(short), 512):
         np.minimum(least, (_SLOPE * short[lo : lo + 512, None] + _SHIFT).min(0), out=least)
+    return least
+
+
+def band_keys(members: np.ndarray) -> np.ndarray:
+    """BANDS keys of a shingle set; two sets share each with the probability similarity**ROWS."""
+    least = least_hashes(members)
     keys = (least.reshape(BANDS, ROWS).astype(np.uint64) * _BAND_ODD[1 : ROWS + 1]).sum(1, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _BAND_ODD[0]
     keys ^= keys >> np.uint64(31)
     return (keys * _BAND_ODD[1]).view(np.int64)
 
 
 def similar_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, points, links): rows has each row's doc_id and node, the digest of its words; points has each node's
-    least doc_id; links (a, b) connect the nodes within RADIUS bits and those whose shingle sets are similar.  Nodes
-    that share a band are connected already or compared exactly: first with the least node of the band, then, where
-    that leaves a band with several components, with the nodes of the other components."""
+    """(rows, points, links): rows has each row's doc_id, text_digest and node, the digest of its words; points has each
+    node's least (doc_id, text_digest); links (a, b) connect the nodes within RADIUS bits and those whose shingle sets are
+    similar.  Nodes that share a band are connected already or compared exactly: first with the least node of the band, then,
+    where that leaves a band with several components, with the nodes of the other components."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_chunks(batch.column(1), 1 << 22, 1024):
+            for start, texts in text_chunks(batch.column(2), 1 << 22, 1024):
                 sets = [shingle_set(t) for t in texts]
                 keys = np.concatenate([band_keys(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)),
+                        batch.column(1).slice(start, len(texts)),
                         pa.array([node(t) for t in texts], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(keys)),
                     ],
-                    names=["doc_id", "node", "n", "fp", "bands"],
+                    names=["doc_id", "text_digest", "node", "n", "fp", "bands"],
                 )
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,9 +290,10 @@ def similar_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                 columns = [pa.array([node(t) for t in texts], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "members"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = cut(texts.mapInArrow(each, "doc_id long, node long, n int, fp long, bands array<long>"), "bands")
-    points = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "points")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_digest"), F.col("text").cast("string").alias("text"))
+    rows = cut(texts.mapInArrow(tidy(each), "doc_id long, text_digest long, node long, n int, fp long, bands array<long>"), "bands")
+    own = F.struct("doc_id", "text_digest")
+    points = cut(rows.groupBy("node").agg(F.min(own).alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "points")
     close = connected_components(shard_links(points.select("fp").distinct(), RADIUS)).withColumnRenamed("node", "fp")
     groups = cut(points.join(close, "fp", "left").select("node", F.coalesce("root", "fp").alias("group")), "close-groups")
     heads = groups.groupBy("group").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last")
@@ -292,51 +302,112 @@ def similar_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     bands = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.max("node").alias("last")).where("lead.node <> last")
     shared = cut(keys.join(bands.select("key", "lead"), "key"), "shared-bands")
 
-    wanted = shared.select("node").distinct().join(points, "node").select("node", "least")
-    held = texts.join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    sets = held.mapInArrow(sets_of, "node long, members array<long>").dropDuplicates(["node"])
+    wanted = shared.select("node").distinct().join(points, "node").select("node", "least.*")
+    held = texts.join(wanted.select("doc_id", "text_digest").distinct(), ["doc_id", "text_digest"], "left_semi").select("text")
+    sets = held.mapInArrow(tidy(sets_of), "node long, members array<long>").dropDuplicates(["node"])
     sets = cut(sets.join(wanted.select("node"), "node", "left_semi"), "shingle-sets")
 
-    def similar(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = pairs.where(F.col("a") != F.col("b")).where(F.least("na", "nb") >= F.greatest("na", "nb") * SIMILARITY).select("a", "b").distinct()
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-        both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-        met = F.size(F.array_intersect("x", "y"))
-        return cut(both.where(met >= SIMILARITY * (F.size("x") + F.size("y") - met)).select("a", "b"), name)
-
-    def rooted(links: DataFrame) -> DataFrame:
-        found = connected_components(links).withColumnRenamed("root", "found")
-        return shared.join(found, "node", "left").select("key", "node", "n", "lead", F.coalesce("found", "node").alias("root"))
-
     head = within.withColumnRenamed("a", "node").withColumnRenamed("b", "head")
     led = shared.join(head, "node", "left").select(F.col("node").alias("a"), "head", F.col("n").alias("na"), F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))
-    links = cut(within.unionByName(similar(led.where("head is null or head <> b"), "led-links")), "links")
-    marked = cut(rooted(links), "marked-bands")
-    mixed = marked.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    mixed = cut(marked.join(mixed, "key", "left_semi"), "mixed-bands")
-    x = mixed.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    more = x.join(y, "key").where("a < b and ra <> rb")
-    return rows.select("doc_id", "node"), points.select("node", "least"), links.unionByName(similar(more, "mixed-links"))
+    led = led.where("(head is null or head <> b) and a <> b").where(F.least("na", "nb") >= F.greatest("na", "nb") * SIMILARITY).select("a", "b").distinct()
+    both = led.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
+    met = F.size(F.array_intersect("x", "y"))
+    alike = cut(both.where(met >= SIMILARITY * (F.size("x") + F.size("y") - met)).select("a", "b"), "led-links")
+    links = cut(within.unionByName(alike), "links")
+    found = connected_components(links).withColumnRenamed("root", "found")
+    marked = cut(shared.join(found, "node", "left").select("key", "node", F.coalesce("found", "node").alias("root")), "marked-bands")
+    sizes = marked.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high")
+    sizes = sizes.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    return rows.select("doc_id", "text_digest", "node"), points.select("node", "least"), links.unionByName(links_in_bands(marked.join(sizes, "key"), sets))
+
+
+def links_in_bands(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what is similar among the nodes (key, node, root, blocks) of each band; nodes of one root
+    are connected.  A band is cut into blocks of about BLOCK nodes, and each pair of blocks is a run of its own: a task
+    holds the shingle sets of one run, compares them inside numpy and gives spanning links only."""
+    dealt = mixed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "root").join(sets, "node")
+    run = ["key", "lo", "hi"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by run; the last run of a batch waits for the next.
+        held: pa.Table | None = None
+
+        def flush(rows: pa.Table) -> pa.RecordBatch:
+            node, root, members = rows["node"].to_numpy(), rows["root"].to_numpy(), rows["members"].combine_chunks()
+            values, ends = members.flatten().to_numpy(), members.offsets.to_numpy() - members.offsets[0].as_py()
+            edges = np.concatenate([[0], np.flatnonzero(run_changes(rows)) + 1, [len(node)]])
+            found = [np.empty((0, 2), np.int64)]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                pairs = similar_pairs([values[ends[i] : ends[i + 1]] for i in range(lo, hi)], root[lo:hi])
+                found.append(node[lo:hi][np.array(pairs, np.int64).reshape(-1, 2)])
+            a, b = np.concatenate(found).T
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        def run_changes(rows: pa.Table) -> np.ndarray:
+            columns = [rows[k].to_numpy() for k in run]
+            return np.any([c[1:] != c[:-1] for c in columns], axis=0)
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            edge = np.flatnonzero(run_changes(rows))
+            if not len(edge):
+                held = rows
+                continue
+            yield flush(rows.slice(0, edge[-1] + 1))
+            held = rows.slice(edge[-1] + 1)
+        if held is not None and held.num_rows:
+            yield flush(held)
+
+    dealt = dealt.select(*run, "node", "root", "members").repartition(*run).sortWithinPartitions(*run, "node")
+    return cut(dealt.mapInArrow(tidy(compare), "a long, b long"), "mixed-links")
+
+
+def similar_pairs(sets: list[np.ndarray], root: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (i, j) of sets of at least SIMILARITY that connect all those of different roots which are similar.  Equal
+    sets of SKETCH minimum hashes estimate the similarity; those that lie MARGIN below it at most are compared exactly."""
+    size = np.array([len(s) for s in sets])
+    sketch = np.stack([least_hashes(s.view(np.uint64))[:SKETCH] for s in sets])
+    _, top = np.unique(root, return_inverse=True)
+    top = top.copy()
+    out = []
+    for i in range(1, len(sets)):
+        near = (sketch[:i] == sketch[i]).mean(1)
+        near[(top[:i] == top[i]) | (np.minimum(size[:i], size[i]) < SIMILARITY * np.maximum(size[:i], size[i]))] = 0
+        for j in np.argsort(-near, kind="stable").tolist():
+            if near[j] < SIMILARITY - MARGIN:
+                break
+            if top[i] == top[j]:
+                continue
+            met = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if met >= SIMILARITY * (size[i] + size[j] - met):
+                out.append((j, i))
+                top[top == top[j]] = top[i]
+    return out
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id) of every row of docs, over links of close fingerprints and of similar shingle sets."""
+    """(doc_id, text_digest, kept) of every distinct pair of doc_id and text_digest in docs, over links of close fingerprints and
+    of similar shingle sets; kept is true for one pair of each component, that of the smallest doc_id."""
     rows, points, links = similar_links(docs)
     found = connected_components(links)
     joined = points.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     joined = cut(joined, "rooted")
-    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(joined.join(ids, "root").select("node", "component_id"), "named")
-    return rows.join(named, "node").select("doc_id", "component_id")
+    ids = joined.groupBy("root").agg(F.min("least").alias("chosen"))
+    named = cut(joined.join(ids, "root").select("node", "chosen"), "named")
+    joined = rows.distinct().join(named, "node")
+    return joined.select("doc_id", "text_digest", (F.struct("doc_id", "text_digest") == F.col("chosen")).alias("kept"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of close or similar texts: the one with the smallest doc_id, of rows that repeat it the least in
-    column order.  Rows without an id can't be named by a component and stay."""
+    """One document of each component of close or similar texts: the one with the smallest doc_id, of rows that repeat its id and text
+    the least in column order.  Rows are told apart by id and text, so a doc_id may stand for several texts.  Rows without an id
+    can't be named by a component and stay."""
     del spark, sf_dir
-    columns = docs.columns
-    kept = similar_components(docs.where("doc_id is not null")).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
-    out = out.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+    # One column holds the row, so that no name of the input can clash with the names here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
+    kept = similar_components(docs.where("doc_id is not null")).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_digest").alias("kept_digest"))
+    out = rows.join(kept, (F.col("id") == F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")), "left_semi")
+    out = out.groupBy("id", "digest").agg(F.min("row").alias("row")).select("row.*")
     return out.unionByName(docs.where("doc_id is null"))
