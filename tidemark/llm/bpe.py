@@ -21,13 +21,14 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import table, text_chunks
+from tidemark.llm.common import table, text_chunks, tidy
 
 BITS = 20  # of an id in a pair
 STORE_CHUNKS = 500_000  # chunks that a worker remembers before it starts afresh
@@ -69,7 +70,11 @@ class Codec:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[self.vocab[a] << BITS | self.vocab[b]] = (rank, self.vocab[a + b])
-        self.store: dict[str, tuple[bytes, bytes]] = {}
+        self.store: dict[str, bytes] = {}  # ids as little-endian unsigned 32-bit integers
+        # Each token's text and a space, end to end, by id.
+        spelled = [(self.tokens[i] + " ").encode() if i in self.tokens else b"" for i in range(max(self.tokens) + 1)]
+        self.letters = np.frombuffer(b"".join(spelled), np.uint8)
+        self.ends = np.cumsum([0, *map(len, spelled)])
 
     def normalise(self, text: str) -> str:
         if not text.isascii():
@@ -183,13 +188,12 @@ class Codec:
         pieces = [[] if c in self.special else self.pieces.findall(c) for c in new]
         distinct = [p for p in dict.fromkeys(p for ps in pieces for p in ps) if p not in store]
         for p, ids in zip(distinct, self.merge([self.symbols(p) for p in distinct]), strict=True):
-            store[p] = (array("I", ids).tobytes(), self.decode(ids).encode())
+            store[p] = array("I", ids).tobytes()
         for c, ps in zip(new, pieces, strict=True):
             if c in self.special:
-                store[c] = (array("I", [self.special[c]]).tobytes(), c.encode())
+                store[c] = array("I", [self.special[c]]).tobytes()
             elif len(ps) != 1 or ps[0] != c:
-                got = [store[p] for p in ps]
-                store[c] = (b"".join([g[0] for g in got]), b" ".join([g[1] for g in got if g[1]]))
+                store[c] = b"".join([store[p] for p in ps])
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens joined by spaces: the vocabulary files of this kind name no decoder.  Unknown ids are skipped."""
@@ -202,11 +206,19 @@ class Codec:
             self.store.clear()
         split = [self.chunks(t) for t in texts]
         self.learn_chunks(c for s in split for c in s)
-        out = []
-        for s in split:
-            got = [self.store[c] for c in s]
-            out.append((b"".join([g[0] for g in got]), b" ".join([g[1] for g in got if g[1]])))
-        return out
+        get = self.store.__getitem__
+        ids = [b"".join(map(get, s)) for s in split]
+        return list(zip(ids, map(self.decoded, ids), strict=True))
+
+    def decoded(self, raw: bytes) -> bytes:
+        """What decode() gives for packed known ids, in UTF-8; a gather of bounded size."""
+        parts = []
+        for lo in range(0, len(raw), 1 << 18):
+            own = np.frombuffer(raw, np.uint32, min(1 << 16, (len(raw) - lo) // 4), lo)
+            first, size = self.ends[own], self.ends[own + 1] - self.ends[own]
+            end = np.cumsum(size)
+            parts.append(self.letters[np.repeat(first - end + size, size) + np.arange(end[-1])].tobytes())
+        return b"".join(parts)[:-1]
 
     def encode(self, text: str) -> list[int]:
         raw = self.encode_batch([text])[0][0]
@@ -243,7 +255,7 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text
 
     rows = docs.select(F.col(text).cast("string").alias("__text"), *keep)
     schema = rows.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType()))
-    return rows.mapInArrow(each, schema.add("decoded_sha256", "string") if back else schema)
+    return rows.mapInArrow(tidy(each), schema.add("decoded_sha256", "string") if back else schema)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
@@ -255,7 +267,7 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), i
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out, pa.string())], names=[*batch.schema.names[1:], "text_decoded"])
 
     rows = encoded.select(F.col(ids).cast("array<int>").alias("__ids"), *keep)
-    return rows.mapInArrow(each, rows.drop("__ids").schema.add("text_decoded", "string"))
+    return rows.mapInArrow(tidy(each), rows.drop("__ids").schema.add("text_decoded", "string"))
 
 
 def _running(lengths: Iterable[int]) -> Iterator[int]:
@@ -283,7 +295,7 @@ def digests(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), tex
 
     rows = docs.select(F.col(text).cast("string").alias("__text"), *keep)
     schema = rows.drop("__text").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    return rows.mapInArrow(each, schema)
+    return rows.mapInArrow(tidy(each), schema)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,9 @@ letters after permuting them by position: rho(rho(x)) * rho(y) * z.  A document
 of its trigram vectors, a language the bundle of its training documents; the predicted language
 has the prototype of highest cosine.
 
+Memory: texts are bundled in parts of about CHUNK_BYTES, longer ones in pieces that end beside a character that is no letter, and
+trigram vectors STEP at a time; only a single word longer than that is held whole.
+
 Cases: null texts and texts without a letter give ("und", 0.0); any text is used whole; equal
 cosines go to the alphabetically first language; repeated rows give repeated predictions (and count
 again in learning); without any usable training row all documents are "und"; other columns of the
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import key_bucket, table, text_chunks
+from tidemark.llm.common import key_bucket, table, text_chunks, tidy
 
 DIM = 1024
 SEED = 20
@@ -29,8 +32,10 @@ CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 384
 WIDTH = 16  # dimensions in one row of a partial prototype
 DENSE_GRAMS = 1 << 22
+STEP = 1 << 14  # trigram vectors that are held at once
+MOST_VECTORS = 1 << 15  # letter vectors that a worker remembers
 MAX_LANGUAGES = 4096
-CALIBRATION_ROWS = 4096  # learning rows, those of least hash, from whose beginnings the bars are set
+CALIBRATION_ROWS = 4096  # distinct learning texts, those of least hash, from whose beginnings the bars are set
 LEAST_SAMPLES = 64  # beginnings of one length that make a bar
 BAR_QUANTILE, BAR_SHARE = 0.01, 0.5
 
@@ -57,6 +62,8 @@ def is_letter() -> np.ndarray:
 def letter_vector(code: int, dim: int, seed: int) -> np.ndarray:
     key = (code, dim, seed)
     if key not in _vectors:
+        if len(_vectors) >= MOST_VECTORS:
+            _vectors.clear()
         _vectors[key] = (np.random.default_rng([seed, code]).integers(0, 2, dim, np.int8) * 2 - 1).astype(np.int8)
     return _vectors[key]
 
@@ -88,22 +95,54 @@ def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def gram_vectors(alphabet: np.ndarray, distinct: np.ndarray, dim: int, seed: int) -> np.ndarray:
-    single = np.stack([letter_vector(int(c), dim, seed) for c in alphabet])
+    used, place = np.unique(distinct, return_inverse=True)
+    place = place.reshape(distinct.shape)
+    single = np.stack([letter_vector(int(c), dim, seed) for c in alphabet[used]])
     twice, once = np.roll(single, 2, 1), np.roll(single, 1, 1)
-    return twice[distinct[:, 0]] * once[distinct[:, 1]] * single[distinct[:, 2]]
+    return twice[place[:, 0]] * once[place[:, 1]] * single[place[:, 2]]
+
+
+def parts(texts: list[bytes | None], groups: np.ndarray) -> Iterator[tuple[list[bytes | None], np.ndarray]]:
+    """Texts and their groups, about CHUNK_BYTES at a time.  A longer text comes in pieces, cut beside characters that are no
+    letters and so stand for word boundaries just as the ends of a text do: no trigram changes."""
+    held: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        n = len(t or b"")
+        if held and size + n > CHUNK_BYTES:
+            yield [texts[k] for k in held], groups[held]
+            held, size = [], 0
+        if n <= CHUNK_BYTES:
+            held.append(i)
+            size += n
+            continue
+        whole = t.decode("utf-8", "replace").lower()
+        at = 0
+        while at < len(whole):
+            end = at + CHUNK_BYTES // 4
+            while end < len(whole) and whole[end].isalpha():
+                end += 1
+            yield [whole[at:end].encode("utf-8", "replace")], groups[[i]]
+            at = end
+    if held:
+        yield [texts[k] for k in held], groups[held]
 
 
 def bundles(texts: list[bytes | None], groups: np.ndarray, n_groups: int, dim: int, seed: int) -> np.ndarray:
     """The bundle of the texts of each group: n_groups x dim."""
-    alphabet, distinct, doc, which = grams(texts)
     out = np.zeros((n_groups, dim))
-    step = max(1, (1 << 22) // max(1, n_groups))
-    for lo in range(0, len(distinct), step):
-        part = distinct[lo : lo + step]
-        own = (which >= lo) & (which < lo + len(part)) if len(distinct) > step else slice(None)
-        counts = np.bincount(groups[doc[own]] * len(part) + which[own] - lo, minlength=n_groups * len(part))
-        counts = counts.reshape(n_groups, len(part)).astype(np.float32)
-        out += counts @ gram_vectors(alphabet, part, dim, seed).astype(np.float32)
+    step = max(1, min(STEP, (1 << 22) // max(1, n_groups)))
+    for part, own_groups in parts(texts, groups):
+        alphabet, distinct, doc, which = grams(part)
+        if len(distinct) > step:
+            order = np.argsort(which, kind="stable")
+            doc, which = doc[order], which[order]
+        for lo in range(0, len(distinct), step):
+            some = distinct[lo : lo + step]
+            own = slice(*np.searchsorted(which, [lo, lo + len(some)])) if len(distinct) > step else slice(None)
+            counts = np.bincount(own_groups[doc[own]] * len(some) + which[own] - lo, minlength=n_groups * len(some))
+            counts = counts.reshape(n_groups, len(some)).astype(np.float32)
+            out += counts @ gram_vectors(alphabet, some, dim, seed).astype(np.float32)
     return out
 
 
@@ -131,7 +170,7 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang", dim: int = D
 
     schema = "label string, part int, " + ", ".join(f"d{i} long" for i in range(WIDTH))
     rows = docs.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label")).where("label is not null and text is not null")
-    sums = rows.mapInArrow(partial, schema).groupBy("label", "part").agg(*(F.sum(f"d{i}").alias(f"d{i}") for i in range(WIDTH)))
+    sums = rows.mapInArrow(tidy(partial), schema).groupBy("label", "part").agg(*(F.sum(f"d{i}").alias(f"d{i}") for i in range(WIDTH)))
     got = sums.limit(MAX_LANGUAGES * (dim // WIDTH) + 1).collect()
     if len(got) > MAX_LANGUAGES * (dim // WIDTH):
         raise ValueError(f"more than {MAX_LANGUAGES} distinct labels: not a language column")
@@ -157,14 +196,17 @@ def bars(docs: DataFrame, profiles: Profiles, text: str = "text", label: str = "
 
     def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for value in batch.column(0).cast(pa.large_binary()).to_pylist():
-                at, decoded = letters(value), value.decode("utf-8", "replace")
+            for value in batch.column(0).cast(pa.large_binary()):
+                at, decoded = letters(value.as_py()), value.as_py().decode("utf-8", "replace")
                 ks = range(len(at).bit_length())
-                yield pa.RecordBatch.from_arrays([pa.array([decoded[: at[(1 << k) - 1] + 1] for k in ks], pa.string()), pa.array(ks, pa.int32())], names=["text", "k"])
-
-    rows = docs.select(F.col(text).cast("string").alias("text")).where(f"{label} is not null and text is not null")
-    rows = rows.orderBy(F.xxhash64("text"), "text").limit(CALIBRATION_ROWS).mapInArrow(beginnings, "text string, k int")
-    scored = predict(rows, profiles, keep=("k",)).groupBy("k").agg(F.count("*").alias("n"), F.percentile("score", F.lit(BAR_QUANTILE)).alias("low"))
+                scores = [guesses([decoded[: at[(1 << k) - 1] + 1].encode()], profiles)[1][0] for k in ks]
+                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(scores, pa.float64())], names=["k", "score"])
+
+    rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("hash"))
+    # The last of the least hashes is found among hashes alone, so that only the chosen texts move.
+    last = rows.select("hash").distinct().orderBy("hash").limit(CALIBRATION_ROWS).agg(F.max("hash")).first()[0]
+    rows = rows.where(F.col("hash") <= F.lit(last).cast("long")).groupBy("hash").agg(F.min("text").alias("text")).select("text")
+    scored = rows.mapInArrow(tidy(beginnings), "k int, score double").groupBy("k").agg(F.count("*").alias("n"), F.percentile("score", F.lit(BAR_QUANTILE)).alias("low"))
     found = {x["k"]: x["low"] * BAR_SHARE for x in scored.collect() if x["n"] >= LEAST_SAMPLES}
     out: list[float] = []
     for k in range(max(found, default=0) + 1):
@@ -180,6 +222,19 @@ def recognised(docs: DataFrame, profiles: Profiles, least: list[float], keep: tu
     return out.where((F.col("lang_pred") != "und") & (F.col("score") > 0) & (F.col("score") >= bar)).drop("score", "n_letters")
 
 
+def guesses(texts: list[bytes | None], profiles: Profiles) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    if not profiles.langs:
+        return ["und"] * len(texts), [0.0] * len(texts)
+    hv = bundles(texts, np.arange(len(texts)), len(texts), profiles.dim, profiles.seed)
+    length = np.linalg.norm(hv, axis=1)
+    cos = hv @ profiles.matrix.T / np.where(length, length, 1)[:, None]
+    best = np.round(cos, 12).argmax(1)
+    known = length > 0
+    langs = [profiles.langs[b] if k else "und" for b, k in zip(best, known, strict=True)]
+    return langs, np.where(known, np.clip(cos[np.arange(len(best)), best], 0, 1), 0.0).tolist()
+
+
 def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_id",), text: str = "text", counted: bool = False) -> DataFrame:
     """The columns keep of docs, with lang_pred and score (the cosine, at least 0), and if counted n_letters."""
 
@@ -189,17 +244,9 @@ def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_i
             for _, texts in text_chunks(batch.column(0), CHUNK_BYTES, CHUNK_ROWS):
                 if counted:
                     n += [len(letters(t)) for t in texts]
-                hv = bundles(texts, np.arange(len(texts)), len(texts), profiles.dim, profiles.seed)
-                length = np.linalg.norm(hv, axis=1)
-                if profiles.langs:
-                    cos = hv @ profiles.matrix.T / np.where(length, length, 1)[:, None]
-                    best = np.round(cos, 12).argmax(1)
-                    known = length > 0
-                    langs += [profiles.langs[b] if k else "und" for b, k in zip(best, known, strict=True)]
-                    scores += np.where(known, np.clip(cos[np.arange(len(best)), best], 0, 1), 0.0).tolist()
-                else:
-                    langs += ["und"] * len(texts)
-                    scores += [0.0] * len(texts)
+                found = guesses(texts, profiles)
+                langs += found[0]
+                scores += found[1]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(n, pa.int64())] if counted else [])],
                 names=[*batch.schema.names[1:], "lang_pred", "score", *(["n_letters"] if counted else [])],
@@ -207,7 +254,7 @@ def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_i
 
     rows = docs.select(F.col(text).cast("string").alias("__text"), *keep)
     schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(guess, schema.add("n_letters", "long") if counted else schema)
+    return rows.mapInArrow(tidy(guess), schema.add("n_letters", "long") if counted else schema)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
