@@ -2,38 +2,47 @@
 
 Texts become templates: words lose case and outer punctuation; numbers, names (capitalised words
 inside a sentence, at most NAME_WORDS in a row: passages in capitals or title case keep their words) and units (after a number) become typed placeholders.  Windows of WINDOW template
-tokens of the benchmark items are hashed; document windows are hash-joined with them.  An item is
-found in a document where the matched windows lie on one alignment, the slots along it are
-consistent (each value of the item stands for one value of the document), and the windows cover at
-least MIN_COVERAGE of the item or hold a run of MIN_RUN of its windows, however long it is.  A
-re-parameterised question so matches with other slot values.  Of an alignment with inconsistent
-slots the windows with unchanged values count.
-
-Cases: null or empty texts have no windows; items of fewer than MIN_LITERALS literal words say too
-little to be found and never are; shorter items than a window are one window of their own length; a
-window needs MIN_LITERALS literal words; repeated rows of a document count once; texts of any length
-are used whole; ids of null are one document; other columns are not read.
+tokens of the benchmark items are hashed; document windows are hash-joined with them.
+
+Evidence is weighed row by row and alignment by alignment.  Windows whose shifts against the item lie within SHIFT words
+(a name may have more words than the one that it replaces) are one alignment; its slots are consistent if each value
+of the item stands for one value of the document (two values of the item may become the same one).  A re-parameterised
+question so matches with other slot values.  Of an alignment with inconsistent slots the windows with unchanged values
+count; those of all alignments also count together, as copies of parts that were moved.  An item is found in a row where
+the windows of one alignment, or the unchanged ones, cover at least MIN_COVERAGE of it or hold a run of MIN_RUN of its
+windows, however long it is.
+
+Items too short or too poor in literal words for such a window (short sums, say) are compared word for word, slots
+included, in windows of their own length or WINDOW; items of fewer than SHORT words only with rows that are nothing else.
+
+One filter at every size spares the join windows that no item has: 16 bits for each of FILTER_WINDOWS benchmark windows,
+a fixed 32 MB.  A larger benchmark fills it, which lets more windows through to the join and loses none.
+
+Cases: null or empty texts have no windows, and items without a word are never found; rows are told apart by doc_id and
+text, so repeated rows count once, and rows of one id (or of none) are judged each by itself and reported under their id
+with the best one's figures; items that share an id likewise; texts of any length are used whole; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, table, text_chunks
+from tidemark.llm.common import HashFilter, cut, table, text_chunks, tidy, word_hashes
 
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
 MIN_RUN = 16  # consecutive windows of an item, 23 words or more, that suffice
 NAME_WORDS = 4  # a longer run of capitalised words is a heading or shouting and holds no name
-FILTER_WINDOWS = 1 << 24  # up to so many benchmark windows a bitmap (of 16 bits each) filters documents' windows
+FILTER_WINDOWS = 1 << 24  # benchmark windows that the filter has 16 bits for
+SHIFT = 4  # words that windows of one alignment may be shifted against each other
+SHORT = 3  # items of fewer words are found only in rows that are nothing else
 
 NUMBER = re.compile(rb"[+-]?[\d.,:/]*\d[\d.,:/]*(?:st|nd|rd|th)?")
 QUANTITY = re.compile(rb"[+-]?\d[\d.,]*([a-z/%]{1,5})")
@@ -52,8 +61,7 @@ UNITS = (
 
 _LITERAL, _NUM, _NAME, _UNIT = 0, 1, 2, 3
 _TYPE_HASH = np.array([0, 0x51ED2705A1B3C7D9, 0x3C6EF372FE94F82B, 0x9B05688C2B3E6C1F], np.uint64)
-_BASE = 0x9E3779B97F4A7C15  # odd, so powers of it have inverses modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASE = 0x9E3779B97F4A7C15
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\v\f\r")] = True
@@ -69,17 +77,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-@lru_cache(maxsize=2)
-def _power_table(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    return _power_table(base, 1 << n.bit_length())[:n]
-
-
 def _before(mask: np.ndarray) -> np.ndarray:
     """How many are true before each position."""
     return np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
@@ -101,7 +98,7 @@ class Templates:
         self.start, self.end = start, end = edge[0::2], edge[1::2]
         n = len(start)
         self.doc = np.searchsorted(first, start, "right") - 1
-        self.hash, self.kind = np.zeros(n, np.uint64), np.zeros(n, np.int8)
+        self.hash, self.word, self.kind = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.int8)
         self.core = np.stack([start, start])
         if not n:
             return
@@ -111,7 +108,7 @@ class Templates:
         bare = lo >= end  # nothing but punctuation: the word is its own core
         lo, hi = np.where(bare, start, lo), np.where(bare, end, hi)
         self.core = np.stack([lo, hi])
-        self.hash = self.hashes(low, lo, hi)
+        self.hash = self.word = word_hashes(low, lo, hi)
         number = np.isin(self.hash, _hash_words(NUMBER_WORDS))
         digits = _before(_DIGIT[x])
         for i in np.flatnonzero(digits[hi] > digits[lo]).tolist():
@@ -139,26 +136,22 @@ class Templates:
             out[at] = capital[at] & (np.bincount(run)[run] > NAME_WORDS)
         return out
 
-    @staticmethod
-    def hashes(low: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Polynomial hashes of the slices [lo, hi) of low, mixed."""
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(low)))])
-        h = (sums[hi] - sums[lo]) * _powers(_INVERSE, len(low) + 1)[lo]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        return h ^ (h >> np.uint64(32))
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First words and hashes of the windows of that size inside one text with enough literal words."""
+    def windows(self, size: int, verbatim: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of the windows of that size inside one text: of templates with enough literal words, or
+        if verbatim of the words themselves."""
         n = len(self.hash) - size + 1
         if n < 1:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
-        total = np.zeros(n, np.uint64)
+        own = self.word if verbatim else self.hash
+        total = np.full(n, 2 * size + verbatim, np.uint64)
         for k in range(size):
-            total = total * np.uint64(_BASE) + self.hash[k : k + n]
+            total = total * np.uint64(_BASE) + own[k : k + n]
         total ^= total >> np.uint64(29)
-        literal = _before(self.kind == _LITERAL)
-        good = np.flatnonzero((literal[size:] - literal[:-size] >= MIN_LITERALS) & (self.doc[:n] == self.doc[size - 1 :]))
+        good = self.doc[:n] == self.doc[size - 1 :]
+        if not verbatim:
+            literal = _before(self.kind == _LITERAL)
+            good &= literal[size:] - literal[:-size] >= MIN_LITERALS
+        good = np.flatnonzero(good)
         return good, total[good]
 
     def slots(self, word: int, size: int) -> list[str]:
@@ -168,98 +161,120 @@ class Templates:
 
 def _hash_words(words: list[bytes]) -> np.ndarray:
     ends = np.cumsum([len(w) for w in words])
-    return Templates.hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], ends[:-1]]), ends)
+    return word_hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], ends[:-1]]), ends)
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, total, size, hash, at, place, slots) for each window of each item; a window with names is there
-    a second time with their words, as a passage in capitals or title case has them."""
-    arrow = pa.schema([("item_id", pa.int64()), ("total", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()), ("at", pa.int32()), ("place", pa.int32()), ("slots", pa.list_(pa.string()))])
+    """(item_id, item, total, size, verbatim, whole, hash, at, place, slots) for each window of each item; item is the digest
+    of its text.  A window with names is there a second time with their words, as a passage in capitals or title case has them."""
+    arrow = pa.schema(
+        [("item_id", pa.int64()), ("item", pa.int64()), ("total", pa.int32()), ("size", pa.int32()), ("verbatim", pa.bool_()), ("whole", pa.bool_())]
+        + [("hash", pa.int64()), ("at", pa.int32()), ("place", pa.int32()), ("slots", pa.list_(pa.string()))]
+    )
+
+    def of(item: int | None, digest: int, value: bytes) -> pa.RecordBatch:
+        t = Templates([value])
+        size, verbatim = min(WINDOW, len(t.hash)), False
+        starts, found = t.windows(size) if size >= MIN_LITERALS else ((), np.empty(0, np.uint64))
+        if not len(found) and size:
+            verbatim = True
+            starts, found = t.windows(size, verbatim)
+        place = {s: i for i, s in enumerate(starts)}
+        rows = [(s, h, t) for s, h in zip(starts, found.view(np.int64).tolist(), strict=True)]
+        if not verbatim:
+            own, plain = {s: h for s, h, _ in rows}, Templates([value], names=False)
+            rows += [(s, h, plain) for s, h in zip(*(x.tolist() for x in _signed(plain.windows(size))), strict=True) if own.get(s, h) != h]
+        columns = [
+            *([v] * len(rows) for v in (item, digest, len(place), size, verbatim, len(t.hash) < SHORT)),
+            [h for _, h, _ in rows], [s for s, _, _ in rows], [place[s] for s, _, _ in rows], [x.slots(s, size) for s, _, x in rows],
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, arrow, strict=True)], schema=arrow)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for item, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
-                t = Templates([value])
-                size = min(WINDOW, len(t.hash))
-                if size < MIN_LITERALS:
-                    continue
-                starts, found = t.windows(size)
-                own = dict(zip(starts.tolist(), found.view(np.int64).tolist(), strict=True))
-                place = {s: i for i, s in enumerate(own)}
-                out += [(item, len(own), size, h, s, place[s], t.slots(s, size)) for s, h in own.items()]
-                plain = Templates([value], names=False)
-                starts, found = plain.windows(size)
-                out += [(item, len(own), size, h, s, place[s], plain.slots(s, size)) for s, h in zip(starts.tolist(), found.view(np.int64).tolist(), strict=True) if own.get(s, h) != h]
-            yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r, strict=True)) for r in out], schema=arrow)
-
-    rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).where("text is not null").distinct()
-    return rows.mapInArrow(each, "item_id long, total int, size int, hash long, at int, place int, slots array<string>")
-
-
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Bits of the hashes' top bits, 16 to 32 bits per hash; a test that has no misses."""
-    bits = max(16, int(np.ceil(np.log2(max(1, len(hashes))))) + 4)
-    out = np.zeros(1 << bits, bool)
-    out[hashes.view(np.uint64) >> np.uint64(64 - bits)] = True
-    return out
+            for item, digest, value in zip(batch.column(0), batch.column(1), batch.column(2).cast(pa.large_binary()), strict=True):
+                yield of(item.as_py(), digest.as_py(), value.as_py())
 
+    source = F.col(text).cast("string")
+    rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.xxhash64(source).alias("item"), source.alias("text")).where("text is not null").distinct()
+    schema = "item_id long, item long, total int, size int, verbatim boolean, whole boolean, hash long, at int, place int, slots array<string>"
+    return rows.mapInArrow(tidy(each), schema)
 
-def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched, coverage, changed_slots) of each item found in a document."""
+
+def _signed(windows: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return windows[0], windows[1].view(np.int64)
+
+
+def filter_bits() -> int:
+    """Binary logarithm of the bits of the filter."""
+    return max(10, (FILTER_WINDOWS - 1).bit_length() + 4)
+
+
+def row_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """(doc_id, digest, item_id, total, n_matched, changed) of each item found in a row, which doc_id and the digest of its text name."""
     windows = cut(benchmark_windows(items), "benchmark-windows")
-    keys = windows.select("size", "hash").distinct().limit(FILTER_WINDOWS + 1).toPandas()
-    sizes = sorted(int(r[0]) for r in windows.select("size").distinct().collect())
-    # The bitmap only spares rows that cannot match; a larger benchmark goes without it.
-    filters = {s: bitmap(keys["hash"].to_numpy(np.int64)[keys["size"].to_numpy() == s]) for s in sizes} if len(keys) <= FILTER_WINDOWS else {}
-    filters = docs.sparkSession.sparkContext.broadcast(filters)
-    arrow = pa.schema([("doc_id", pa.int64()), ("size", pa.int32()), ("hash", pa.int64()), ("pos", pa.int32()), ("doc_slots", pa.list_(pa.string()))])
+    kinds = sorted((r["size"], r["verbatim"]) for r in windows.select("size", "verbatim").distinct().collect())  # WINDOW of each kind at most
+    shared = docs.sparkSession.sparkContext.broadcast(HashFilter.of(windows, filter_bits()))
+    arrow = pa.schema(
+        [("doc_id", pa.int64()), ("digest", pa.int64()), ("size", pa.int32()), ("hash", pa.int64()), ("pos", pa.int32()), ("alone", pa.bool_()), ("doc_slots", pa.list_(pa.string()))]
+    )
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = filters.value
+        known = shared.value.bitmap()
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for start, texts in text_chunks(batch.column(1), 1 << 21, 4096):
+            for start, texts in text_chunks(batch.column(2), 1 << 20, 4096):
                 t = Templates(texts)
-                own = np.array([-1 if i is None else i for i in ids[start : start + len(texts)]], np.int64)
-                null = np.array([i is None for i in ids[start : start + len(texts)]], bool)
-                opens = np.searchsorted(t.doc, np.arange(len(texts)))
-                for size in sizes:
-                    starts, found = t.windows(size)
-                    if maps and len(found):
-                        m = maps[size]
-                        hit = m[found >> np.uint64(65 - len(m).bit_length())]
-                        starts, found = starts[hit], found[hit]
+                opens = np.searchsorted(t.doc, np.arange(len(texts) + 1))
+                words = np.diff(opens)
+                for size, verbatim in kinds:
+                    starts, found = t.windows(size, verbatim)
+                    hit = known(found)
+                    starts, found = starts[hit], found[hit]
                     if len(found):
                         doc = t.doc[starts]
                         columns = [
-                            pa.array(own[doc], pa.int64(), mask=null[doc]),
+                            batch.column(0).take(pa.array(doc + start)),
+                            batch.column(1).take(pa.array(doc + start)),
                             pa.array(np.full(len(found), size, np.int32)),
                             pa.array(found.view(np.int64)),
                             pa.array((starts - opens[doc]).astype(np.int32)),
+                            pa.array(words[doc] == size),
                             pa.array([t.slots(s, size) for s in starts.tolist()], pa.list_(pa.string())),
                         ]
                         yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    seen = rows.mapInArrow(each, "doc_id long, size int, hash long, pos int, doc_slots array<string>")
-    pairs = seen.join(windows, ["size", "hash"]).select(
-        "doc_id", "item_id", "total", "place", (F.col("pos") - F.col("at")).alias("diagonal"), F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other")).alias("pairs")
-    )
-    # One alignment has at most the item's windows, so what it collects is bounded by the item.
-    windows_at = F.collect_set(F.struct("place", "pairs"))
-    aligned = pairs.groupBy("doc_id", "item_id", "total", "diagonal").agg(windows_at.alias("held"))
+    source = F.col(text).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(source).alias("digest"), source.alias("text"))
+    seen = rows.mapInArrow(tidy(each), "doc_id long, digest long, size int, hash long, pos int, alone boolean, doc_slots array<string>")
+    slots = F.arrays_zip(F.col("slots").alias("own"), F.col("doc_slots").alias("other"))
+    key = ["doc_id", "digest", "item_id", "item", "total"]
+    pairs = seen.join(windows, ["size", "hash"]).where("alone or not whole").select(*key, "verbatim", "place", (F.col("pos") - F.col("at")).alias("shift"), slots.alias("pairs"))
+    same = F.forall("pairs", lambda p: p["own"] == p["other"])
+    # Two rows of bands, half a band apart: shifts of SHIFT words or less share one.  The null band is for unchanged windows of all shifts.
+    low, high = (F.floor((F.col("shift") + k * SHIFT) / (2 * SHIFT)) * 2 + k for k in (0, 1))
+    null = F.lit(None).cast("long")
+    pairs = pairs.where(same | ~F.col("verbatim")).withColumn("band", F.explode(F.when(same, F.array(low, high, null)).otherwise(F.array(low, high))))
+    # A band holds 2 * SHIFT windows at each place of the item at most, and the null band one, so the item bounds what is collected.
+    aligned = pairs.groupBy(*key, "band").agg(F.collect_set(F.struct("place", "pairs")).alias("held"))
     aligned = aligned.withColumn("values", F.array_distinct(F.flatten("held.pairs")))
     consistent = F.size("values") == F.size(F.array_distinct("values.own"))
     unchanged = F.filter("held", lambda w: F.forall(w["pairs"], lambda p: p["own"] == p["other"]))
-    kept = aligned.withColumn("held", F.when(consistent, F.col("held")).otherwise(unchanged)).where(F.size("held") > 0)
+    kept = aligned.withColumn("held", F.when(consistent, F.col("held")).otherwise(unchanged))
     changed = F.size(F.filter(F.array_distinct(F.flatten("held.pairs")), lambda p: p["own"] != p["other"]))
+    judged = kept.select(*key, F.size(F.array_distinct("held.place")).alias("n_matched"), longest_run(F.col("held.place")).alias("run"), changed.alias("changed"))
+    judged = judged.where((F.col("n_matched") / F.col("total") >= min_coverage) | (F.col("run") >= MIN_RUN))
+    best = F.max(F.struct("n_matched", (-F.col("changed")).alias("less"))).alias("best")
+    return judged.groupBy(*key).agg(best).select("doc_id", "digest", "item_id", "total", "best.n_matched", (-F.col("best.less")).alias("changed"))
+
+
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """(doc_id, item_id, n_windows, n_matched, coverage, changed_slots) of each item found in a document."""
+    found = row_matches(docs, items, id_col, text, min_coverage).withColumn("coverage", F.col("n_matched") / F.col("total"))
+    best = F.max(F.struct("coverage", "n_matched", (-F.col("changed")).alias("less"), "total")).alias("best")
     return (
-        kept.select("doc_id", "item_id", "total", F.explode(F.array_distinct("held.place")).alias("place"), longest_run(F.col("held.place")).alias("run"), changed.alias("changed"))
-        .groupBy("doc_id", "item_id", "total")
-        .agg(F.countDistinct("place").alias("n_matched"), F.max("changed").alias("changed_slots"), F.max("run").alias("run"))
-        .where((F.col("n_matched") / F.col("total") >= min_coverage) | (F.col("run") >= MIN_RUN))
-        .select("doc_id", "item_id", F.col("total").cast("long").alias("n_windows"), "n_matched", (F.col("n_matched") / F.col("total")).alias("coverage"), F.col("changed_slots").cast("long").alias("changed_slots"))
+        found.groupBy("doc_id", "item_id")
+        .agg(best)
+        .select("doc_id", "item_id", F.col("best.total").cast("long").alias("n_windows"), F.col("best.n_matched").cast("long").alias("n_matched"), "best.coverage", (-F.col("best.less")).cast("long").alias("changed_slots"))
     )
 
 
@@ -280,16 +295,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item.  Rows without an id are told apart by their text."""
-    columns, items = docs.columns, table(spark, sf_dir, "benchmark")
-
-    def clean(rows: DataFrame, key: Column) -> DataFrame:
-        keyed = rows.select("*", key.alias("__key"))
-        bad = cut(matches(keyed, items, id_col="__key").select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-        return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").select(*columns)
-
-    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    out = clean(named, F.col("doc_id"))
-    if unnamed.isEmpty():
-        return out
-    return out.unionByName(clean(unnamed, F.xxhash64("text")))
+    """Documents that hold no benchmark item; rows are told apart by doc_id, which may be null, and text."""
+    # One column holds the row, so that no name of the input can clash with the names here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own_digest"))
+    bad = cut(row_matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "digest").distinct(), "contaminated")
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own_digest") == F.col("digest")), "left_anti").select("row.*")
