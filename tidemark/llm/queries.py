@@ -24,4 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": licenses.op3_sql(),
     "op5_sharding": shards.op5_sql(),
+    "op10_lm_scoring": lm_score.op10_sql(),
 }
