@@ -194,3 +194,134 @@ def test_sealable_epochs():
     whole = [(0, 3 * C.EPOCH_SLOTS - 1)]
     assert C.sealable_epochs(4 * C.EPOCH_SLOTS, 1, whole, [0]) == [1, 2]
     assert C.sealable_epochs(4 * C.EPOCH_SLOTS, 1, [(0, C.EPOCH_SLOTS), (C.EPOCH_SLOTS + 2, 3 * C.EPOCH_SLOTS - 1)], []) == [0, 2]
+
+
+def test_a_batch_that_was_compacted_is_not_published_again(spark, tmp_path):
+    store = C.Store(spark, f"file://{tmp_path}/store", SPECS)
+    for b in (1, 2):
+        store.publish(b, batch(spark, [(f"t{b}", 5, "h")], []))
+    assert store.compact("txs", C.CompactionPolicy(head_files=2)) == 2
+    store.publish(1, batch(spark, [("t1", 5, "other"), ("new", 6, "h")], []))
+    store.publish(3, batch(spark, [], []))  # a batch without rows is registered too
+    assert sorted(map(tuple, store.raw("txs").select("sig", "hash").collect())) == [("t1", "h"), ("t2", "h")]
+    assert store.snapshot().batches == [(1, 3)]
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = f"file://{tmp_path}/store"
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda b: C.Store(spark, root, SPECS).publish(b, batch(spark, [(f"t{b}", b, "h")], [])), range(1, 7)))
+    store = C.Store(spark, root, SPECS)
+    assert sorted(r["sig"] for r in store.latest("txs").collect()) == [f"t{b}" for b in range(1, 7)] and store.snapshot().version == 6
+
+
+def test_leases_and_age_hold_garbage(spark, tmp_path):
+    store = C.Store(spark, f"file://{tmp_path}/store", SPECS)
+    for b in (1, 2):
+        store.publish(b, batch(spark, [(f"t{b}", 5, "h")], []))
+    with store.lease() as seen:
+        rows = store.latest("txs", catalog=seen)
+        assert store.compact("txs", C.CompactionPolicy(head_files=2)) == 2
+        assert store.collect_garbage() == 0 and rows.count() == 2
+    assert store.collect_garbage(min_age_s=C.GARBAGE_AGE_S) == 0
+    assert store.collect_garbage() == 2 and store.latest("txs").count() == 2 and store.collect_garbage() == 0
+    store._make(f"{store.root}/leases/lost.json", {"until": 0})  # of a driver that is gone
+    assert store._leased_since() is None and store._names("leases") == []
+
+
+def test_faults_seals_and_offload(spark, tmp_path):
+    import shutil
+
+    store = C.Store(spark, f"file://{tmp_path}/store", SPECS)
+    store.publish(1, batch(spark, [("a", 5, "h"), ("b", C.EPOCH_SLOTS + 1, "h")], [("a/0", "a", 5, "h")]))
+    whole = [(0, 2 * C.EPOCH_SLOTS - 1)]
+    now = 3 * C.EPOCH_SLOTS
+    assert store.faults() == [] and [f.low for f in store.files("txs")] == [5, C.EPOCH_SLOTS + 1]
+    assert store.seal(0, C.EPOCH_SLOTS, 1, whole) == "waiting"
+    assert [store.seal(0, now, 1, whole) for _ in range(2)] == ["sealed", "unchanged"]
+    with pytest.raises(ValueError, match="not sealed"):
+        store.offload(1, f"file://{tmp_path}/far")
+    before = sorted(map(tuple, store.latest("txs").collect()))
+    assert store.offload(0, f"file://{tmp_path}/far") == 2 and store.collect_garbage() == 2
+    with pytest.raises(ValueError, match="restore"):
+        store.latest("txs")
+    assert store.latest("txs", C.EPOCH_SLOTS, None).count() == 1
+    assert store.restore(0) == 2 and sorted(map(tuple, store.latest("txs").collect())) == before
+    assert store.seal(0, now, 1, whole) == "unchanged" and store.compact("txs", C.CompactionPolicy(head_files=1)) <= 1
+    store.publish(2, batch(spark, [("c", 7, "h")], []))
+    assert store.seal(0, now, 1, whole) == "sealed"
+    file = next(f for f in store.files("txs") if f.batch == 2)
+    shutil.rmtree(file.path.removeprefix("file://"))
+    assert store.faults() == [(file.path, "missing")] and store.faults(watermark=6) == []
+    with pytest.raises(ValueError, match="is null"):
+        store.publish(9, {"txs": spark.createDataFrame([("z", None, "h")], SPECS[0].schema)})
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "select * from csv.`/etc/passwd`", "select reflect('java.lang.System', 'setProperty', 'a', 'b')", "select java_method('java.util.UUID', 'randomUUID')", "select * from other",
+        "with x as (select * from other) select * from x", "select (select max(sig) from other) m from txs", "select * from txs where exists (select 1 from text.`/etc/passwd`)",
+        "select * from parquet.`/tmp/x`", "select try_reflect('java.lang.System', 'exit', 0)", "select transform(sig) using 'cat' as (x) from txs", "select * from txs, lateral (select * from other)",
+        "select sig in (select reflect('java.lang.System', 'gc')) from txs", "select * from read_files('/etc/passwd')",
+    ],
+)
+def test_store_queries_read_the_store_only(spark, tmp_path, sql):
+    store = C.Store(spark, f"file://{tmp_path}/store", SPECS)
+    spark.range(1).createOrReplaceTempView("other")
+    with pytest.raises(ValueError):
+        store.query(sql)
+
+
+def test_store_queries_that_read(spark, tmp_path):
+    store = C.Store(spark, f"file://{tmp_path}/store", SPECS)
+    store.publish(1, batch(spark, [("a", 5, "h1"), ("b", 6, "h1")], [("a/0", "a", 5, "h1")]))
+    for sql, n in [
+        ("select * from txs", 2), ("with x as (select sig from txs), y as (select * from x) select x.sig from x join events_raw e on e.sig = x.sig, y", 2), ("select * from txs where sig in (select sig from events)", 1),
+        ("select * from range(3)", 3), ("select sig, (select count(*) from events) c from txs union all select 'z', 0", 3), ("select explode(array(1, 2)) from txs", 4), ("describe select sig, slot from txs", 2),
+    ]:
+        assert store.query(sql).count() == n, sql
+
+
+def test_left_range_join_with_nulls_and_repeats(spark):
+    points = spark.createDataFrame([(5,), (None,)], "x long")
+    spans = spark.createDataFrame([(0, 10, None), (0, 10, None), (20, 30, "a"), (None, 3, "b")], "lo long, hi long, name string")
+    got = relational.range_join(points, spans, "x", "lo", "hi", 4, how="left").select("lo", "hi", "name", "x").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(0, 10, None, 5), (0, 10, None, 5), (20, 30, "a", None), (None, 3, "b", None)]))
+
+
+def test_order_statistics_are_exact(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = [(k, None if rng.random() < 0.1 else round(rng.gauss(0, 1), rng.choice([1, 6]))) for k in "ab" for _ in range(3000)] + [("c", 1.0), ("d", None), (None, 2.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for accuracy in (10_000, 100):  # the second brackets
+        monkeypatch.setattr(relational, "ACCURACY", accuracy)
+        for share in (0.5, 0.01, 1.0):
+            at = F.greatest(F.lit(1), F.floor(F.col("n") * share))
+            got = {r["k"]: (r["n"], r["q"]) for r in relational.order_statistics(df, ["k"], "v", share, {"q": at}).collect()}
+            for k in ("a", "b", "c"):
+                values = sorted(v for x, v in rows if x == k and v is not None)
+                assert got[k] == (len(values), values[max(1, math.floor(len(values) * share)) - 1])
+
+
+def test_numbered_rows_of_a_hot_key(spark):
+    rows = [("hot" if i % 3 else f"k{i}", i * 7 % 1000, i) for i in range(1000)] + [(None, 1, -1), (None, 0, -2)]
+    got = relational.numbered(spark.createDataFrame(rows, "k string, v int, i int").repartition(4), ["k"], ["v", "i"], "at", "of").collect()
+    for k in ("hot", "k0", None):
+        mine = sorted((v, i) for x, v, i in rows if x == k)
+        assert sorted((r["at"], r["v"], r["i"], r["of"]) for r in got if r["k"] == k) == [(n + 1, *x, len(mine)) for n, x in enumerate(mine)]
+
+
+def test_content_digest_depends_on_content_alone(spark):
+    rows = [(i, None if i % 5 else f"t{i}", i / 4) for i in range(5000)]
+    digest = lambda xs, schema="a long, b string, c double", name="t", parts=3: quality.content_digest(spark.createDataFrame(xs, schema).repartition(parts), name, ["a"]).first()["digest"]
+    first = digest(rows)
+    assert first == digest(rows[::-1], parts=7)
+    others = [digest(rows[1:]), digest([(0, "t0", 0.5), *rows[1:]]), digest(rows, name="u"), digest(rows, "a long, b string, d double"), digest([]), digest([(0, "", 0.0)]), digest([(0, None, 0.0)])]
+    assert len({first, *others}) == 8
+    with pytest.raises(Exception, match="repeated"):
+        digest([*rows, rows[7]])
