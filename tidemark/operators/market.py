@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.relational import previous_bucket
+from tidemark.operators.relational import order_statistics, previous_bucket
 
 HOUR_US, MINUTE_US = 3_600_000_000, 60_000_000
 THIN_HOURS, CLOSE_GAP = 24, 0.01
@@ -54,12 +54,19 @@ def snapshot_features(snapshots: DataFrame, key: str, hour: str, order: list[str
     return best.select(key, hour, "__row.*")
 
 
-def tracking_verdict(left: DataFrame, right: DataFrame, pairs: Column, thin: int = THIN_HOURS, close: float = CLOSE_GAP) -> DataFrame:
+def tracking_verdict(left: DataFrame, right: DataFrame, pairs: Column | DataFrame, thin: int = THIN_HOURS, close: float = CLOSE_GAP) -> DataFrame:
     """x, y, n_hours, mid, verdict for pairs of symbols over their common hours; mid is the median of
-    |ln(price ratio)|.  Fewer than `thin` hours: thin; a median under `close`: map; else divergence."""
+    |ln(price ratio)|.  Fewer than `thin` hours: thin; a median under `close`: map; else divergence.
+
+    pairs: the candidates, a table (x, y) that prices are joined to before they meet, so that an hour's prices never meet
+    all others; or a condition, for few symbols."""
     a = left.select(F.col("symbol").alias("x"), "hour", F.col("price").alias("p"))
     b = right.select(F.col("symbol").alias("y"), "hour", F.col("price").alias("q"))
-    gaps = a.join(b, "hour").where(pairs).select("x", "y", F.abs(F.log(F.col("p") / F.col("q"))).alias("gap"))
-    out = gaps.groupBy("x", "y").agg(F.count("*").alias("n_hours"), F.median("gap").alias("mid"))
+    met = a.join(b, "hour").where(pairs) if isinstance(pairs, Column) else a.join(pairs.select("x", "y").distinct(), "x").join(b, ["y", "hour"])
+    gaps = met.select("x", "y", F.abs(F.log(F.col("p") / F.col("q"))).alias("gap"))
+    middle = {"low": F.floor((F.col("n") + 1) / 2), "high": F.floor(F.col("n") / 2) + 1}
+    counts = gaps.groupBy("x", "y").agg(F.count("*").alias("n_hours"))
+    found = order_statistics(gaps, ["x", "y"], "gap", 0.5, middle).select("x", "y", ((F.col("low") + F.col("high")) / 2).alias("mid"))
+    out = counts.join(found, ["x", "y"], "left")
     verdict = F.when(F.col("n_hours") < thin, "thin").when(F.col("mid") < close, "map").otherwise("divergence")
     return out.withColumn("verdict", verdict)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.storage import written
+
 
 def latest_revision(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of greatest order for each key.  An aggregate, not a window: partial results shrink
@@ -30,16 +32,20 @@ def range_join(points: DataFrame, intervals: DataFrame, point: str, low: str, hi
     """point BETWEEN low AND high as an equi-join on buckets of the given width, then a residual filter.
 
     Each interval is listed in the buckets it spans, so choose the width near the usual span: neither
-    side is broadcast, and no nested loop arises.  how: inner, or left from the intervals.
+    side is broadcast, and no nested loop arises.  how: inner, or left from the intervals; an interval with a
+    null bound has no point, and repeated intervals stay repeated.
     """
     bucket = lambda c: F.expr(f"(`{c}` - pmod(`{c}`, {width})) div {width}")
     left = intervals.withColumn("__b", F.explode(F.sequence(bucket(low), bucket(high))))
     right = points.withColumn("__b", bucket(point))
-    pairs = left.join(right, "__b").where(F.col(point).between(F.col(low), F.col(high))).drop("__b")
+    inside = F.col(point).between(F.col(low), F.col(high))
+    pairs = left.join(right, "__b").where(inside).drop("__b")
     if how == "inner":
         return pairs
-    alone = intervals.join(pairs.select(*intervals.columns).distinct(), list(intervals.columns), "left_anti")
-    return pairs.unionByName(alone, allowMissingColumns=True)
+    met = left.join(right.select(point, F.col("__b").alias("__c")), (F.col("__b") == F.col("__c")) & inside, "left_semi").drop("__b").distinct()
+    met = met.select(*(F.col(c).alias(f"__met_{c}") for c in intervals.columns))
+    same = [F.col(c).eqNullSafe(F.col(f"__met_{c}")) for c in intervals.columns]
+    return pairs.unionByName(intervals.join(met, same, "left_anti"), allowMissingColumns=True)
 
 
 def merge_intervals(df: DataFrame, key: Sequence[str], low: str, high: str) -> DataFrame:
@@ -96,6 +102,48 @@ def upper_median(value: str) -> Column:
     return F.element_at(ordered, (F.size(ordered) / 2).cast("int") + 1)
 
 
+ACCURACY = 10_000  # of approximate percentiles: they are off by n / ACCURACY ranks at most
+
+
+def order_statistics(df: DataFrame, key: Sequence[str], value: str, share: float, ranks: dict[str, Column]) -> DataFrame:
+    """key, n, and by name the value at each rank (1-based, an expression over n near share * n) among the non-null values of each key.
+
+    Exact, and no task holds a key's values: of keys with more than ACCURACY rows approximate percentiles bracket the
+    ranks, counts below the bracket say where in it they lie, and only the distinct values inside are sorted."""
+    by = ["__all", *key]
+    rows = df.where(F.col(value).isNotNull()).select(F.lit(0).alias("__all"), *key, F.col(value).alias("__v"))
+    margin = 10.0 / ACCURACY
+    steps = F.percentile_approx("__v", [max(0.0, share - margin), min(1.0, share + margin)], ACCURACY)
+    total = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), steps.alias("__steps"))
+    few = F.col("n") <= ACCURACY
+    bounds = total.select(*by, "n", F.when(few, F.col("__min")).otherwise(F.col("__steps")[0]).alias("__from"), F.when(few, F.col("__max")).otherwise(F.col("__steps")[1]).alias("__to"))
+    # Repeated values are one row from here on.
+    met = rows.groupBy(*by, "__v").agg(F.count("*").alias("__n")).join(bounds, by)
+    below = met.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("__v") < F.col("__from"), F.col("__n"))), F.lit(0)).alias("__below"))
+    inside = met.where(F.col("__v").between(F.col("__from"), F.col("__to"))).join(below, by)
+    reach = F.col("__below") + F.sum("__n").over(Window.partitionBy(*by).orderBy("__v"))
+    found = inside.withColumn("__reach", reach)
+    values = (F.min(F.when(F.col("__reach") >= rank, F.col("__v"))).alias(name) for name, rank in ranks.items())
+    return found.groupBy(*by, "n").agg(*values).drop("__all")
+
+
+def numbered(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], name: str, count: str | None = None) -> DataFrame:
+    """name: the row number (long) of each row among those of its key by order, and count: how many those are.
+
+    A key may hold any share of the rows: they are written sorted by key and order, range by range, so that a row's
+    place in its file less that of its key's first row there, and the counts of the files before, make its number."""
+    rows = written(df.repartitionByRange(*key, *order).sortWithinPartitions(*key, *order), "sorted")
+    rows = rows.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    counts = rows.groupBy("__file", *key).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    every = Window.partitionBy(*key)  # a row for each file that holds the key; file names follow the ranges
+    before = F.coalesce(F.sum("__n").over(every.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("__before", before - F.col("__first") + 1).withColumn("__of", F.sum("__n").over(every))
+    counts = counts.select(F.col("__file").alias("__own"), "__before", "__of", *(F.col(c).alias(f"__key_{c}") for c in key))
+    met = rows.join(counts, [F.col("__file") == F.col("__own"), *(F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in key)])
+    out = met.select(*df.columns, (F.col("__at") + F.col("__before")).cast("long").alias(name), "__of")
+    return out.withColumnRenamed("__of", count) if count else out.drop("__of")
+
+
 def ordered_values(value: str, order: Sequence[str]) -> Column:
     """Values of a group as a list ordered by other columns, as an aggregate."""
     return F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__v")))), lambda s: s["__v"])

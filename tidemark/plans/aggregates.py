@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import epoch_day, epoch_hour, epoch_micros
 from tidemark.operators import market
+from tidemark.operators import quality as Q
 from tidemark.operators import relational as R
 from tidemark.plans.registry import query
 from tidemark.sources.tables import table
@@ -33,7 +34,7 @@ r AS (SELECT coin, hour, ln(px) - lag(ln(px)) OVER (PARTITION BY coin, hour ORDE
 v AS (SELECT coin, hour, count(*) AS n_minutes, round(coalesce(sum(dr * dr), 0), 6) AS rv2 FROM r GROUP BY ALL)
 SELECT * FROM h LEFT JOIN v USING (coin, hour)""")
 def stage1_hourly(spark, d):
-    """AGG-03, AGG-04, AGG-06, AGG-11, JOIN-04, WIN-04: hourly features; one pass by minute, one by hour."""
+    """AGG-03, AGG-04, AGG-11, JOIN-04, WIN-04: hourly features; one pass by minute, one by hour."""
     e = table(spark, d, "events").where("value > 0")
     fills = e.select(
         F.col("event_type").alias("coin"), epoch_micros("ts").alias("t"), F.col("event_id").alias("tid"), F.col("value").alias("px"), F.lit(1.0).alias("sz"),
@@ -89,7 +90,10 @@ def median_ratio_verdict(spark, d):
     """AGG-13, DQ-13, JOIN-14: do two price series track each other over their common hours?"""
     e = table(spark, d, "events").where("value > 0")
     prices = e.groupBy(F.col("event_type").alias("symbol"), epoch_hour("ts").alias("hour")).agg(F.avg("value").alias("price"))
-    out = market.tracking_verdict(prices, prices, (F.col("x") < F.col("y")))
+    # The candidates: all pairs of the few symbols.
+    names = F.transform(F.array_sort(F.collect_set("symbol")), lambda x: x)
+    pairs = prices.agg(names.alias("s")).select(F.explode("s").alias("x"), "s").select("x", F.explode("s").alias("y")).where("x < y")
+    out = market.tracking_verdict(prices, prices, pairs)
     return out.select("x", "y", "n_hours", F.round("mid", 6).alias("mid"), "verdict")
 
 
@@ -97,7 +101,7 @@ def median_ratio_verdict(spark, d):
 SELECT p_brand, list_sort(list(p_retailprice))[count(*) // 2 + 1] AS upper_median FROM part GROUP BY p_brand""")
 def upper_median(spark, d):
     """AGG-14: the element at n / 2, not the mean of two."""
-    return table(spark, d, "part").groupBy("p_brand").agg(R.upper_median("p_retailprice").alias("upper_median"))
+    return R.order_statistics(table(spark, d, "part"), ["p_brand"], "p_retailprice", 0.5, {"upper_median": F.floor(F.col("n") / 2) + 1}).drop("n")
 
 
 @query("""
@@ -143,14 +147,31 @@ def coverage_by_program(spark, d):
     return p.groupBy("p_type").agg(F.count("*").alias("decoded"), F.count(F.when(F.col("p_size") > 25, 1)).alias("undecoded"), F.round(small / F.sum("p_retailprice"), 6).alias("coverage"))
 
 
-@query("""
-WITH r AS (SELECT l_orderkey % 64 AS bucket, sha256(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus)) AS h FROM lineitem)
-SELECT bucket, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS digest FROM r GROUP BY bucket""")
+DIGEST_KINDS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_orderdate": "string", "cents": "bigint"}
+_TAGGED = " || ".join(f"coalesce('{'I' if k == 'bigint' else 'T'}' || length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N')" for c, k in DIGEST_KINDS.items())
+_SCHEMA = "6:orders" + f"{len(DIGEST_KINDS)}:" + "".join(f"{len(c)}:{c}{len(k)}:{k}" for c, k in DIGEST_KINDS.items())
+
+
+@query(f"""
+WITH src AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE)::VARCHAR AS o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+r AS (SELECT sha256('I' || length(o_orderkey::VARCHAR) || ':' || o_orderkey) AS k, sha256({_TAGGED}) AS h FROM src),
+size AS (SELECT count(*) AS n, greatest(0, CAST(ceil(log2(count(*))) AS INT) - 10) AS bits FROM r),
+leaves AS (SELECT ('0x' || substr(k, 1, 12))::BIGINT >> (48 - bits) AS leaf, sha256(string_agg(h, '' ORDER BY k)) AS h FROM r, size GROUP BY leaf),
+root AS (SELECT CASE WHEN bits = 0 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY leaf)) END AS h FROM leaves, size GROUP BY bits)
+SELECT n, sha256('{_SCHEMA}' || n || ':' || h) AS digest FROM size, root""")
 def content_digest(spark, d):
-    """AGG-17, FN-11: order-free digests of row buckets; a list holds one bucket's digests, so buckets grow in number with the table."""
-    text = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-    rows = table(spark, d, "lineitem").select((F.col("l_orderkey") % 64).alias("bucket"), F.sha2(text, 256).alias("h"))
-    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("digest"))
+    """AGG-17, FN-11: digest of schema and rows in the order of a tree over their keys.  The SQL has one level above the leaves, enough for a million rows."""
+    day, cents = F.to_date("o_orderdate").cast("string").alias("o_orderdate"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"), "o_orderstatus", day, cents)
+    return Q.content_digest(rows, "orders", ["o_orderkey"])
+
+
+@query("""
+SELECT n_regionkey, any_value(r_name) AS region, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY n_regionkey""")
+def any_of_group(spark, d):
+    """AGG-06: any value of a group, here the one that its key determines."""
+    joined = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.groupBy("n_regionkey").agg(F.any_value("r_name").alias("region"), F.count("*").alias("nations"))
 
 
 @query("""
@@ -180,9 +201,11 @@ def tumbling_window(spark, d):
 @query("""
 SELECT event_id, dense_rank() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS day_no, ntile(4) OVER (PARTITION BY event_type ORDER BY value, event_id) AS quartile FROM events""")
 def open_sql_ranks(spark, d):
-    """Open SQL surface: rank functions."""
-    return table(spark, d, "events").select(
+    """Open SQL surface: rank functions.  A quartile over one of few types is made of its row number i among n, so that no task holds a type: of the
+    four parts the first r = n % 4 hold q + 1 rows, the others q = n div 4."""
+    rows = R.numbered(table(spark, d, "events"), ["event_type"], ["value", "event_id"], "i", "n")
+    return rows.withColumn("q", F.expr("n div 4")).withColumn("r", F.col("n") % 4).select(
         "event_id",
         F.dense_rank().over(Window.partitionBy("user_id").orderBy(F.to_date("ts"))).cast("long").alias("day_no"),
-        F.ntile(4).over(Window.partitionBy("event_type").orderBy("value", "event_id")).cast("long").alias("quartile"),
+        F.expr("case when i <= r * (q + 1) then (i - 1) div (q + 1) else r + (i - 1 - r * (q + 1)) div q end + 1").alias("quartile"),
     )

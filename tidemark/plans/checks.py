@@ -134,12 +134,14 @@ def quarantine_merge(spark, d):
 
 
 @query("""
-SELECT count(*) AS unproven FROM (SELECT o_orderkey, md5(concat_ws('|', o_custkey, o_orderstatus)) FROM orders WHERE o_orderkey % 10 < 3
-  EXCEPT SELECT o_orderkey, md5(concat_ws('|', o_custkey, o_orderstatus)) FROM orders WHERE o_orderkey % 10 < 2)""")
+SELECT count(*) AS unproven FROM (SELECT o_orderkey, md5(concat_ws('|', o_custkey, o_orderstatus)) FROM orders
+  EXCEPT SELECT o_orderkey, md5(concat_ws('|', o_custkey, o_orderstatus)) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A'))""")
 def archive_proof(spark, d):
-    """DQ-07, SET-04: rows without an equal archived copy; hashes, not payloads, are shuffled."""
+    """DQ-07, SET-04: rows without an equal archived copy; the archive holds the orders with a line of flag A.  Hashes, not payloads, are shuffled."""
     rows = table(spark, d, "orders").select("o_orderkey", F.md5(F.concat_ws("|", "o_custkey", "o_orderstatus")).alias("h"))
-    return rows.where("o_orderkey % 10 < 3").join(rows.where("o_orderkey % 10 < 2"), ["o_orderkey", "h"], "left_anti").distinct().agg(F.count("*").alias("unproven"))
+    flagged = table(spark, d, "lineitem").where("l_returnflag = 'A'").select("l_orderkey")
+    archive = rows.join(flagged, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    return rows.join(archive, ["o_orderkey", "h"], "left_anti").distinct().agg(F.count("*").alias("unproven"))
 
 
 @query("""
@@ -155,13 +157,16 @@ def update_and_trim(spark, d):
 
 
 @query("""
-WITH held AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0), incoming AS (SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem WHERE l_orderkey BETWEEN 500 AND 2000)
-SELECT o_orderkey, 'held' AS origin FROM held UNION ALL SELECT o_orderkey, 'new' FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.o_orderkey = i.o_orderkey AND h.o_orderkey BETWEEN 500 AND 2000)""")
+WITH held AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0), incoming AS (SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem)
+SELECT o_orderkey, 'held' AS origin FROM held UNION ALL SELECT o_orderkey, 'new' FROM incoming i
+WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.o_orderkey = i.o_orderkey AND h.o_orderkey BETWEEN (SELECT min(o_orderkey) FROM incoming) AND (SELECT max(o_orderkey) FROM incoming))""")
 def insert_unseen(spark, d):
     """SINK-11: an insert of unseen keys, with the known side cut to the window of the incoming one."""
     held = table(spark, d, "orders").where("o_orderkey % 4 = 0").select("o_orderkey")
-    incoming = table(spark, d, "lineitem").where("l_orderkey between 500 and 2000").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    new = incoming.join(held.where("o_orderkey between 500 and 2000"), "o_orderkey", "left_anti")
+    incoming = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    low, high = table(spark, d, "lineitem").agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    window = held.where(F.col("o_orderkey").between(low, high)) if low is not None else held
+    new = incoming.join(window, "o_orderkey", "left_anti")
     return held.withColumn("origin", F.lit("held")).unionByName(new.withColumn("origin", F.lit("new")))
 
 

@@ -74,14 +74,14 @@ def join_inequality(spark, d):
 
 
 @query("""
-WITH days AS (SELECT DISTINCT epoch_us(ts) // 86400000000 AS day FROM events), users AS (SELECT DISTINCT user_id FROM events WHERE user_id % 10 = 0),
+WITH days AS (SELECT DISTINCT epoch_us(ts) // 86400000000 AS day FROM events), users AS (SELECT DISTINCT user_id FROM events),
 last AS (SELECT user_id, epoch_us(ts) // 86400000000 AS day, arg_max(value, (ts, event_id)) AS value, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY ALL)
 SELECT user_id, day, value, event_type FROM users CROSS JOIN days LEFT JOIN last USING (user_id, day)""")
 def snapshot_asof(spark, d):
     """JOIN-09, WIN-07: the last event of each user in each day, on a grid of users and the few days."""
     events = table(spark, d, "events")
     days = events.select(epoch_day("ts").alias("day")).distinct().agg(F.collect_set("day").alias("days"))
-    grid = events.where("user_id % 10 = 0").select("user_id").distinct().join(F.broadcast(days)).select("user_id", F.explode("days").alias("day"))
+    grid = events.select("user_id").distinct().join(F.broadcast(days)).select("user_id", F.explode("days").alias("day"))
     last = R.last_in_window(events, ["user_id"], epoch_day("ts"), ["ts", "event_id"], {"value": "value", "event_type": "event_type"})
     return grid.join(last.withColumnRenamed("bucket", "day"), ["user_id", "day"], "left")
 
@@ -108,9 +108,7 @@ def causal_lookup(spark, d):
     last = bought.groupBy("user_id", "t").agg(F.max("value").alias("v"))
     # Strictly before: at the same instant the click sorts first.
     found = R.latest_before(events.where("event_type = 'click'").select("user_id", "t", "event_id"), last, ["user_id"], "t", "t", "v", 7 * DAY_US, "held")
-    # The upper median is the least value that is not below the median; both are single rows.
-    middle = bought.agg(F.percentile("value", F.lit(0.5)).alias("p"))
-    above = bought.join(F.broadcast(middle)).where("value >= p").agg(F.min("value").alias("mid"))
+    above = R.order_statistics(bought, [], "value", 0.5, {"mid": F.floor(F.col("n") / 2) + 1}).select("mid")  # one row
     return found.join(F.broadcast(above)).select("event_id", F.coalesce("held", "mid").alias("centre"))
 
 

@@ -68,7 +68,9 @@ QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY abs(p_retailprice - mid
 def nearest_k(spark, d):
     """SORT-05: the five rows nearest to their group's median; Spark keeps five per task before the shuffle."""
     part = table(spark, d, "part").select("p_brand", "p_partkey", "p_retailprice")
-    gap = part.join(part.groupBy("p_brand").agg(F.median("p_retailprice").alias("mid")), "p_brand").withColumn("d", F.abs(F.col("p_retailprice") - F.col("mid")))
+    ranks = {"low": F.floor((F.col("n") + 1) / 2), "high": F.floor(F.col("n") / 2) + 1}
+    middle = R.order_statistics(part, ["p_brand"], "p_retailprice", 0.5, ranks).select("p_brand", ((F.col("low") + F.col("high")) / 2).alias("mid"))
+    gap = part.join(middle, "p_brand").withColumn("d", F.abs(F.col("p_retailprice") - F.col("mid")))
     return R.nearest(gap, ["p_brand"], F.col("d"), ["p_partkey"], 5).select("p_brand", "p_partkey", F.round("d", 4).alias("gap"))
 
 
@@ -88,15 +90,11 @@ def offset_page(spark, d):
 
 
 @query("""
-SELECT event_id, k, row_number() OVER (ORDER BY k NULLS LAST, event_id) AS place FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS k FROM events)
-ORDER BY k NULLS LAST, event_id LIMIT 1000""")
+SELECT event_id, k, row_number() OVER (ORDER BY k NULLS LAST, event_id) AS place FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS k FROM events)""")
 def order_nulls_last(spark, d):
-    """SORT-02: nulls last, the first thousand."""
-    from pyspark.sql import Window
-
+    """SORT-02: the place of every row in the order with nulls last."""
     k = F.when(F.col("event_type") != "error", F.col("user_id"))
-    top = table(spark, d, "events").select("event_id", k.alias("k")).orderBy(F.asc_nulls_last("k"), "event_id").limit(1000)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("k"), "event_id")).cast("long"))
+    return R.numbered(table(spark, d, "events").select("event_id", k.alias("k")), [], [F.asc_nulls_last("k"), "event_id"], "place")
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY md5(concat('42|', c_custkey)), c_custkey LIMIT 100")

@@ -33,19 +33,44 @@ def stream_equals_batch(spark, d, files_per_batch=1000):
 @query("""
 SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_newest_wins(spark, d):
-    """STR-03, STR-09, STR-11: the newest row per key, kept up by foreachBatch merges."""
+    """STR-03, STR-11: the newest row per key, kept up by a log of deltas that foreachBatch appends to."""
     from tidemark.operators.relational import latest_revision
 
-    events = table(spark, d, "events")
+    events = table(spark, d, "events").select("user_id", "ts", "event_id", "value")
     root = I.state_dir(spark)
-    held: dict[str, str] = {}
+    log = I.DeltaLog(spark, f"{root}/log", events.schema, lambda rows: latest_revision(rows, ["user_id"], ["ts", "event_id"]))
 
     def each(batch, number):
-        rows = batch.select("user_id", "ts", "event_id", "value")
-        if "path" in held:
-            rows = rows.unionByName(spark.read.parquet(held["path"]))
-        latest_revision(rows, ["user_id"], ["ts", "event_id"]).write.mode("overwrite").parquet(f"{root}/state-{number}")
-        held["path"] = f"{root}/state-{number}"
-
-    I.run_available(I.file_stream(spark, f"{d}/events.parquet*", events.schema), each, f"{root}/checkpoint")
-    return spark.read.parquet(held["path"]).select("user_id", "event_id", "value")
+        log.commit(log.folded(batch.select(*events.columns)), number)
+
+    I.run_available(I.file_stream(spark, f"{d}/events.parquet*", table(spark, d, "events").schema), each, f"{root}/checkpoint")
+    return log.folded(log.rows()).select("user_id", "event_id", "value")
+
+
+@query("""
+SELECT count(*) AS n, sum(o_orderkey) AS keys, round(sum(o_totalprice), 2) AS total, max(o_orderkey) AS mark FROM orders""")
+def two_lanes(spark, d):
+    """STR-04, STR-05, STR-09, STR-10: orders published by a tail that follows the newest keys with an overlap, and by a history that walks down
+    in segments; ranges are buffered and restored in order if a publication fails, as the second one does here."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    low, head = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    root = I.state_dir(spark)
+    store, failed = I.PeriodStore(spark, f"{root}/store"), []
+    step = max(1, (head - low) // 6)
+
+    def publish(a, b):
+        if not failed and a > low:
+            failed.append((a, b))  # this range stays where it is, and the next call takes it again
+            return False
+        store.merge("all", orders.where(F.col("o_orderkey").between(a, b)), ["o_orderkey"])
+        return True
+
+    first = I.Lanes(spark, f"{root}/lanes", step, overlap=step // 10, floor=low)
+    first.begin(low + (head - low) // 2)
+    first.history(publish)
+    lanes = I.Lanes(spark, f"{root}/lanes", step, overlap=step // 10, floor=low)  # a new driver goes on
+    while lanes.state()[1] < head or lanes.state()[2]:
+        lanes.tail(head, publish)
+        lanes.history(publish)
+    held = store.read("all")
+    return held.agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.lit(lanes.state()[1]).alias("mark"))
