@@ -6,15 +6,21 @@ ROUNDS rounds adds to one half of the list a keystream (SHA-512 of key, kind, ro
 half), modulo each digit's modulus: a permutation of exactly the values of that format.  So equal
 values stay equal across documents, different values stay different, and valid ones stay valid.
 
-Kinds: email (local part; letters stay letters, digits digits), iban and card (check digits made
-anew), ip, date (1900 to 2099), ssn, phone.  The formats' fixed parts (separators, domains, country,
-first card digit) stay.
+Kinds: email (local part; a letter becomes a letter of its script's range, a digit a digit), iban and card (check
+digits made anew), ip (version 4), date (1900 to 2099), ssn, phone (North American, with a country code, or with a
+trunk 0 and a separated area code).  The formats' fixed parts (separators, domains, country, trunk 0, first card digit,
+letters outside of the ranges) stay.  Not looked for: version 6 addresses, bare digits without a separator as phones,
+names and postal addresses.
+
+The key is written into the plan as a literal, which Spark's explain and event log show unless
+spark.sql.redaction.string.regex matches it.
 
 Texts are searched three times, so that a stretch which fails validation hides no smaller value: for all
 kinds, with cards as they are grouped; in what failed, for all kinds but iban; in what is left, for cards of any grouping.
 
 Cases: null texts stay null; texts without a value, and values that fail validation, stay as they
-are; texts are used whole, and repeated rows stay repeated; other columns pass unread.
+are; texts are used whole, and repeated rows stay repeated; other columns pass unread, whatever their names, but for one
+that has the name asked for as output, which is replaced.  Any key is taken as it is, quotes and backslashes included.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import free_name, table
 
 ROUNDS = 8
 KEY = "tidemark demonstration key"  # a parameter of every function here: production gives its own
@@ -30,13 +36,13 @@ KINDS = ("email", "iban", "card", "ip", "date", "ssn", "phone")
 
 #: What each kind looks like (Java regular expressions), in order of preference.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])",
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z/-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?:(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5})(?![0-9A-Za-z])",
+    "phone": r"(?:(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|(?<![0-9A-Za-z+.,/-])0[1-9][0-9]{1,4}[ /-][0-9]{5,8})(?![0-9A-Za-z])",
 }
 #: Cards in the groups that cards have; a last short group is one only if no other number follows.
 GROUPED = "|".join(f"[0-9]{{4}}(?:{s}[0-9]{{4}}){{3}}TAIL|[0-9]{{4}}{s}[0-9]{{6}}{s}[0-9]{{4,5}}|[0-9]{{4}}{s}[0-9]{{4}}{s}[0-9]{{5}}".replace("TAIL", f"(?:{s}[0-9]{{1,3}}(?![ .-]?[0-9]))?") for s in " -")
@@ -53,9 +59,16 @@ _LUHN = "aggregate(transform(reverse({d}), (x, i) -> if(i % 2 = 1, 2 * x - if(x
 # Letters as 10 to 35, one character after the other, modulo 97.
 _MOD97 = "aggregate(filter(split({s}, ''), c -> c <> ''), 0L, (a, c) -> if(c between '0' and '9', (a * 10 + ascii(c) - 48) % 97, (a * 100 + ascii(c) - 55) % 97))"
 _CHARS = "filter(split({s}, ''), c -> c <> '')"
-_CLASS = "transform({c}, c -> if(c rlike '[0-9]', 10L, if(c rlike '[A-Za-z]', 26L, 1L)))"
-_BASE = "if({c} rlike '[0-9]', 48, if({c} rlike '[a-z]', 97, if({c} rlike '[A-Z]', 65, ascii({c}))))"
+#: First code point and length of the ranges of digits and letters.
+RANGES = (
+    (0x30, 10), (0x61, 26), (0x41, 26), (0xC0, 23), (0xD8, 7), (0xE0, 23), (0xF8, 8), (0x100, 128), (0x391, 17), (0x3B1, 25), (0x410, 32), (0x430, 32),
+    (0x5D0, 27), (0x621, 26), (0x641, 10), (0x3041, 86), (0x30A1, 90), (0x4E00, 20992), (0xAC00, 11172),
+)
+_BASE = "case " + " ".join(f"when ascii({{c}}) between {lo} and {lo + n - 1} then {lo}" for lo, n in RANGES) + " else ascii({c}) end"
+_SIZE = "case " + " ".join(f"when ascii({{c}}) between {lo} and {lo + n - 1} then {n}L" for lo, n in RANGES) + " else 1L end"
+_CLASS = "transform({c}, c -> " + _SIZE.format(c="c") + ")"
 _ORDINALS = "transform({c}, c -> cast(ascii(c) - " + _BASE.format(c="c") + " as bigint))"
+_CHAR = "if({n} < 128, char({n}), decode(unhex(lpad(hex({n}), 4, '0')), 'UTF-16BE'))"
 _EMPTY = "cast(array() as array<bigint>)"
 _DATES = ("yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy")
 _DAY = "coalesce(" + ", ".join(f"cast(try_to_timestamp(m, '{f}') as date)" for f in _DATES) + ")"
@@ -65,8 +78,10 @@ def _feistel(values: str, moduli: str, tweak: str, key: str) -> str:
     half = f"(size({moduli}) div 2)"
     # The other half of an even round is the second one.
     other = f"array_join(if(r % 2 = 0, slice(v, {half} + 1, size(v) - {half}), slice(v, 1, {half})), ',')"
-    stream = f"sha2(concat_ws('|', '{key}', {tweak}, cast(r as string), {other}), 512)"
-    add = "cast(conv(substr(s, cast(1 + (i % 16) * 8 as int), 8), 16, 10) as bigint)"
+    said = f"concat_ws('|', {key}, {tweak}, cast(r as string), {other})"
+    # One digest for each 16 places.
+    stream = f"transform(sequence(0, cast((size(v) - 1) div 16 as int)), b -> sha2(concat({said}, if(b = 0, '', concat('|', cast(b as string)))), 512))"
+    add = "cast(conv(substr(s[i div 16], cast(1 + (i % 16) * 8 as int), 8), 16, 10) as bigint)"
     turn = f"transform(v, (x, i) -> if((i < {half}) = (r % 2 = 0), (x + {add}) % {moduli}[i], x))"
     return f"aggregate(sequence(0, {ROUNDS - 1}), {values}, (v, r) -> transform(array({stream}), s -> {turn})[0])"
 
@@ -78,8 +93,9 @@ def _fill(m: str, digits: str) -> str:
 
 
 def _spell(values: str, like: str) -> str:
-    """Characters with the ordinals values in the classes of the characters like."""
-    return f"array_join(zip_with({values}, {like}, (x, c) -> char(x + {_BASE.format(c='c')})), '')"
+    """Characters with the ordinals values in the ranges of the characters like."""
+    shown = _CHAR.format(n=f"(x + {_BASE.format(c='c')})")
+    return f"array_join(zip_with({values}, {like}, (x, c) -> if({_SIZE.format(c='c')} = 1, c, {shown})), '')"
 
 
 def found(text: str, key: str = KEY) -> str:
@@ -95,7 +111,10 @@ def found(text: str, key: str = KEY) -> str:
       when 'date' then coalesce({_DAY} between date'1900-01-01' and date'2099-12-31', false)
       when 'ssn' then not (m rlike '^(000|666|9)|-00-|0000$')
       when 'phone' then size({digits}) between 7 and 15 end"""
-    country = "if(m rlike '^[+](?!1[ .(-]|1[0-9]{10}$)', 2, size(d) - 10)"  # digits that stay: a country code, or NANP's 1
+    trunk, abroad = "m rlike '^0'", "m rlike '^[+](?!1[ .(-]|1[0-9]{10}$)'"
+    country = f"if({abroad}, 2, if({trunk}, 1, size(d) - 10))"  # digits that stay: a country code, a trunk 0, or the North American 1
+    # The first digit of a North American area or exchange is 2 at least, that of an area after a trunk 0 is 1 at least.
+    least = f"if({trunk}, if(i = 0, 1, 0), if(not {abroad} and i in (0, 3), 2, 0))"
     local = "substring_index(m, '@', 1)"
     days = f"datediff({_DAY}, date'1900-01-01')"
     area = "cast(substr(m, 1, 3) as bigint)"
@@ -106,7 +125,7 @@ def found(text: str, key: str = KEY) -> str:
       when 'ip' then transform(split(m, '[.]'), o -> cast(o as bigint))
       when 'date' then array(cast({days} div 229 as bigint), cast({days} % 229 as bigint))
       when 'ssn' then array({area} - if({area} > 666, 2, 1), cast(substr(m, 5, 2) as bigint) - 1, cast(substr(m, 8, 4) as bigint) - 1)
-      when 'phone' then transform(slice(d, {country} + 1, size(d) - {country}), (x, i) -> if({country} < 2 and i in (0, 3) and x >= 2, x - 2, x))
+      when 'phone' then transform(slice(d, {country} + 1, size(d) - {country}), (x, i) -> if(x >= {least}, x - {least}, x))
       else {_EMPTY} end"""
     moduli = f"""case kind
       when 'email' then {_CLASS.format(c=_CHARS.format(s=local))}
@@ -115,10 +134,10 @@ def found(text: str, key: str = KEY) -> str:
       when 'ip' then array_repeat(256L, 4)
       when 'date' then array(319L, 229L)
       when 'ssn' then array(898L, 99L, 9999L)
-      when 'phone' then transform(slice(d, {country} + 1, size(d) - {country}), (x, i) -> if({country} < 2 and i in (0, 3), if(x >= 2, 8L, 2L), 10L))
+      when 'phone' then transform(slice(d, {country} + 1, size(d) - {country}), (x, i) -> cast(if(x >= {least}, 10 - {least}, {least}) as bigint))
       else {_EMPTY} end"""
     tweak = "concat(kind, if(kind = 'email', lower(substring_index(m, '@', -1)), if(kind = 'iban', substr(m, 1, 2), if(kind = 'card', cast(d[0] as string), ''))))"
-    new = _feistel("u", "w", tweak, key.replace("'", ""))
+    new = _feistel("u", "w", tweak, f"decode(unhex('{key.encode().hex()}'), 'UTF-8')")
     body = "concat(array(d[0]), p)"
     card = f"concat({body}, array((10 - ({_LUHN.format(d=f'concat({body}, array(0L))')})) % 10))"
     bban = _spell("p", _CHARS.format(s=f"substr({bare}, 5)"))
@@ -133,7 +152,7 @@ def found(text: str, key: str = KEY) -> str:
       when 'ip' then array_join(p, '.')
       when 'date' then case {" ".join(f"when m rlike '{r}' then date_format({day}, '{f}')" for r, f in zip(("^[0-9]{4}-", "^[0-9]{2}/", "^[0-9]{2}[.]"), _DATES, strict=True))} end
       when 'ssn' then concat_ws('-', lpad(cast(p[0] + if(p[0] >= 665, 2, 1) as string), 3, '0'), lpad(cast(p[1] + 1 as string), 2, '0'), lpad(cast(p[2] + 1 as string), 4, '0'))
-      when 'phone' then {_fill("m", f"concat(slice(d, 1, {country}), transform(p, (x, i) -> if({country} < 2 and i in (0, 3) and w[i] = 8, x + 2, x)))")}
+      when 'phone' then {_fill("m", f"concat(slice(d, 1, {country}), transform(p, (x, i) -> if({least} > 0 and w[i] = 10 - {least}, x + {least}, x)))")}
       else m end"""
     # Each step names what the next one needs; lambda parameters stand for the fields.
     names = {"m": "z.m", "kind": "z.kind", "d": "z.d", "u": "z.u", "w": "z.w", "p": "z.p"}
@@ -169,25 +188,26 @@ def _rename(sql: str, names: dict[str, str]) -> str:
     return "".join(parts)
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", out: str = "text", key: str = KEY) -> DataFrame:
-    """docs with the column out (the text with pseudonyms) and pii (the text's pieces, with kind and out)."""
+def pseudonymise(docs: DataFrame, text: str = "text", out: str = "text", key: str = KEY, pieces: str | None = None) -> DataFrame:
+    """docs with the column out, the text with pseudonyms, and where a name is given with the column pieces: the parts
+    of a text that may hold values, each with kind and out."""
     source = f"cast(`{text}` as string)"
-    pii = f"if({source} rlike '{HINT}', {found(source, key)}, null)"
-    marked = docs.withColumn("__pii", F.expr(pii))
-    joined = "array_join(transform(__pii, r -> r.out), '')"
-    new = F.expr(f"if(size(__pii) > 0, {joined}, {source})")
-    return marked.withColumn(out, new)
+    name = pieces or free_name(docs, "pieces")
+    marked = docs.withColumn(name, F.expr(f"if({source} rlike '{HINT}', {found(source, key)}, null)"))
+    joined = f"array_join(transform(`{name}`, r -> r.out), '')"
+    new = marked.withColumn(out, F.expr(f"if(size(`{name}`) > 0, {joined}, {source})"))
+    return new if pieces else new.drop(name)
 
 
-def count_of(kind: str | None = None) -> Column:
+def count_of(kind: str | None = None, pieces: str = "pieces") -> Column:
     """How many values of the kind, or of any kind, were replaced."""
     test = "r.kind is not null" if kind is None else f"r.kind = '{kind}'"
-    return F.expr(f"cast(coalesce(size(filter(__pii, r -> {test})), 0) as int)")
+    return F.expr(f"cast(coalesce(size(filter(`{pieces}`, r -> {test})), 0) as int)")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and the number of values of each kind."""
-    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces="pieces")
     return out.select("doc_id", "text", *(count_of(k).alias(f"n_{k}") for k in KINDS))
 
 
