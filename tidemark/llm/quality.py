@@ -7,9 +7,10 @@ column expression over the statistics, which are Spark columns too: scoring runs
 Training uses at most SAMPLE labelled rows (those of least hash); all documents are scored, whole.
 
 Cases: null and empty texts have zero statistics and get the score of those; rows with a null id are
-scored, never learned from, and not held out; null labels are not learned from; a document that is
-labelled twice counts as often; with labels of one class, or none, the score is the rate of label 1
-(0.5 without labels); repeated rows get repeated scores; other columns are not read.
+scored, never learned from, and not held out; null labels are not learned from; repeated labels and repeated rows of a
+document count once, contrary labels each, and different texts of one id each; with labels of one class, or none, the score is the rate of label 1
+(0.5 without labels); repeated rows get repeated scores; other columns pass unread, whatever their names, but
+for one that has the name asked for as output, which is replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import key_bucket, table
+from tidemark.llm.common import free_name, key_bucket, table
 
 SAMPLE = 20_000
 TREES, DEPTH, LEAST_LEAF = 60, 3, 20
@@ -150,21 +151,22 @@ def fit(names: list[str], x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Ens
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Ensemble:
     """Fit on the sample labelled rows of least hash; only their statistics reach the driver."""
-    rows = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("double").alias("__y")).where("__id is not null and __y in (0, 1)")
-    rows = rows.orderBy(F.xxhash64("__id", F.lit(SEED)), "__id", "__y").limit(sample)
-    # The sample's size bounds what is broadcast.
-    picked = docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("__id"))
+    rows = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("double").alias("y")).where("id is not null and y in (0, 1)").distinct()
+    rows = rows.orderBy(F.xxhash64("id", F.lit(SEED)), "id", "y").limit(sample)
     stats = statistics(F.col("text"))
-    got = picked.select("doc_id", "__y", *(c.cast("double").alias(k) for k, c in stats.items())).dropDuplicates(["doc_id", "__y"]).toPandas()
-    got = got.sort_values(["doc_id", "__y"], kind="stable")
-    return fit(list(stats), got[list(stats)].to_numpy(float), got["__y"].to_numpy(float))
+    # The sample's size bounds what is broadcast, and what an id with many rows sends.
+    picked = docs.select(F.col("doc_id").alias("own"), "text").join(F.broadcast(rows), F.col("own") == F.col("id"))
+    picked = picked.select("id", "y", *(c.cast("double").alias(k) for k, c in stats.items())).distinct()
+    got = picked.orderBy(F.xxhash64("id", F.lit(SEED)), "id", "y", *stats).limit(sample).toPandas().sort_values(["id", "y", *stats], kind="stable")
+    return fit(list(stats), got[list(stats)].to_numpy(float), got["y"].to_numpy(float))
 
 
-def score(docs: DataFrame, ensemble: Ensemble, text: str = "text") -> DataFrame:
-    """docs with the column score."""
+def score(docs: DataFrame, ensemble: Ensemble, text: str = "text", out: str = "score") -> DataFrame:
+    """docs with the probability of label 1 in the column out."""
     stats = statistics(F.col(text))
-    named = docs.withColumns({f"__{k}": c for k, c in stats.items()})
-    return named.withColumn("score", ensemble.column({k: F.col(f"__{k}") for k in stats})).drop(*(f"__{k}" for k in stats))
+    names = {k: free_name(docs, f"statistic_{k}") for k in stats}
+    named = docs.withColumns({names[k]: c for k, c in stats.items()})
+    return named.withColumn(out, ensemble.column({k: F.col(names[k]) for k in stats})).drop(*names.values())
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
