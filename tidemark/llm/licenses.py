@@ -1,9 +1,12 @@
 """License scans by canonical digest lookup, with SQL functions only.
 
-A unit of text (the whole document, and each of its lines) is canonicalised: lines that state a
-copyright or reserve rights go, case and punctuation go, equivalent spellings become one, white
-space becomes single spaces.  The digest of what is left is hash-joined with the digests of known
-licence texts, canonicalised by the same expressions.
+A unit of text is canonicalised: lines that state a copyright or reserve rights go, case and punctuation go, a first line
+that is the title of a licence goes, equivalent spellings become one, white space becomes single spaces.  The
+digest of what is left is hash-joined with the digests of known licence texts, canonicalised by the same expressions.
+Units are the whole document, each of its lines (there a title stays), and each run of RUN paragraphs or fewer that has several
+lines and is not the whole: lines of punctuation only, as in the frame of a comment, separate paragraphs as empty ones do.
+
+The registry is texts and, for texts that are too long to print here, digests; folder() makes one of licence files.
 
 Cases: null and empty texts, and texts whose canonical form is empty, match nothing; a document may
 match several licences and a licence several times (n counts units); equal registry texts under two
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 
-BROADCAST_ROWS = 100_000  # of a registry; a larger one is joined by shuffle
+BROADCAST_ROWS = 100_000  # of a registry, of which each is counted; a larger one is joined by shuffle
+RUN = 6  # paragraphs of one unit
 
 _GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
 _AS_IS = (
@@ -58,6 +62,8 @@ REGISTRY: list[tuple[str, str]] = [
      "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS),
     ("BSD-2-Clause", _BSD + _BSD_1 + _BSD_2 + _BSD_END),
     ("BSD-3-Clause", _BSD + _BSD_1 + _BSD_2 + _BSD_3 + _BSD_END),
+    ("BSD-2-Clause", _BSD + (_BSD_1 + _BSD_2).replace("1. ", "").replace("2. ", "") + _BSD_END),
+    ("BSD-3-Clause", _BSD + (_BSD_1 + _BSD_2 + _BSD_3).replace("1. ", "").replace("2. ", "").replace("3. ", "") + _BSD_END),
     ("ISC", _ISC + ", provided that the above copyright notice and this permission notice appear in all copies." + _ISC_END),
     ("0BSD", _ISC + "." + _ISC_END),
     ("MIT", "Released under the MIT License."),
@@ -107,16 +113,60 @@ SPELLINGS: list[tuple[str, str]] = [
     ("artefact", "artifact"), ("whilst", "while"), ("wilful", "willful"), ("licencing", "licensing"), ("v 2 0", "version 2 0"), ("v2 0", "version 2 0"),
 ]
 
-# The same patterns serve Java and RE2 regular expressions.
-COPYRIGHT_LINES = r"(?i)(^|\n)[ \t*#/;-]*(copyright[ \t]|copyright:|\(c\)[ \t]|©|all rights reserved)[^\n]*"
+#: Full texts by SPDX id: digest and length of the canonical form.
+DIGESTS: list[tuple[str, str, int]] = [
+    ("Apache-2.0", "da8a765034a879d63277e9cfdf568aadafafea1c17a1c54df774d591d06e5b25", 8766),
+    ("Apache-2.0", "2295e316b6e525a824b867463925b9336c159a244448c57e561e3a013db1ae5a", 8794),
+    ("Apache-2.0", "905cb44fb0178cb947d66c0ea4aecab0b8eb3502ef89c93d6c1560d9cd8a7b91", 9810),
+    ("Artistic-1.0-Perl", "09298ea5f55a44867296b42e98842579815a99e2b295c0aa24cf234134c9ebeb", 5812),
+    ("CC0-1.0", "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e", 6691),
+    ("GFDL-1.2-only", "2f75fa79b178d495a9ab6b69b82e5502c3cb2012aff01a5b63768646ace39d89", 19547),
+    ("GFDL-1.3-only", "6a9067c2d89ede2254cdd38c447816cd552e2fae3ab5ad765750b3c78493c5df", 21981),
+    ("GPL-1.0-only", "004d51305feee6b52152c2f281ce28deaeb53eb4a4d007ee76cd7a921214d66a", 9360),
+    ("GPL-1.0-only", "ca8a13e258985f008e9e869c46b2f9ce910ff6e64682660c0130a3a2597b9056", 9388),
+    ("GPL-1.0-only", "9132a605811c9f9a51621da0e0708f46e408e3507a3c1a9d16a5f48291082b8c", 11738),
+    ("GPL-2.0-only", "639c69262acf6777ee0c163867caf39bdb5ec90b59bad9412c9e6101fb65e404", 14428),
+    ("GPL-2.0-only", "b519669ce969d79c162f16dca67a0abab53b46986efb528afe3e105936cc0050", 14456),
+    ("GPL-2.0-only", "29507662ad31f55a5ac02f26a5d8cca21add440b2dff4a9ce97e458a0ca43f7f", 17090),
+    ("GPL-3.0-only", "888dd3b6e21b31412e3e47000b49d18dbd8f52fb42ccb5fc3108c8ca3c150b16", 30913),
+    ("GPL-3.0-only", "7649ebbf3b070f38d710d6c6b656cbe1d02e00991423dedb73cb040e73d42572", 30941),
+    ("GPL-3.0-only", "bf9e206799496404ec781ceaf777966308e875445239b2a25248b6a0f817844d", 33379),
+    ("LGPL-2.0-only", "9c23d4ec08c96de18510022fc734a8ee0a97727299d09046fc5ce263d269352e", 22214),
+    ("LGPL-2.0-only", "1bcddbd821db9aff439d7cd0cc29582bde4192194dead3bbf1218f38ca99554f", 22242),
+    ("LGPL-2.0-only", "f17ebefdba4ae01060494f3396c1bc854578b6eaafaa6fe8abcf7a94e7fc2a6e", 24095),
+    ("LGPL-2.1-only", "02d1c6765d5d7d83c080934e4f4d4e8a534db157a3addff8d581f70e285a297a", 23303),
+    ("LGPL-2.1-only", "1b0f2373f80527d4e0de3c4558c0b3804f46c844770e82398a9876c782f360f9", 23331),
+    ("LGPL-2.1-only", "50866b22e296e073a398813dc84c4c9dec94ed1ee7d617c063eb6851a562b9d4", 25183),
+    ("LGPL-3.0-only", "e1c7b25e9116bcad127297bbfb82e6a89822822ba6bfa3af9eae995aad877765", 7070),
+    ("MPL-1.1", "cbfc00b9f88d8b5c99c2b680632d93a36e40c29744dea389252791b72d254d66", 22316),
+    ("MPL-2.0", "59f4f179a6364feb62413164893f95ba482263f14cb4ec49ff8b840cca4c7767", 14249),
+]
+
+# The same patterns serve Java and RE2 regular expressions; they see lower case.  A line that begins with copyright is a
+# notice if it has a mark, a year or authors: licences have lines that begin with copyright holder.
+COPYRIGHT_LINES = r"(^|\n)[ \t*#/;-]*(copyright:|copyright[ \t]*(\(c\)|©)|copyright[ \t][^\n]*([0-9]{4}|yyyy|<year>|authors)|\(c\)[ \t]|©|all rights reserved)[^\n]*"
+COPYRIGHT_HINTS = ("copyright", "(c)", "©", "all rights reserved")
 DROPPED = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
+# A title before something else, in a cleaned text.
+TITLE = r"^[ \n]*(?:[a-z0-9]+ ){0,7}licen[cs]e(?: [a-z0-9]+){0,3} *\n([ \n]*[^ \n])"
+PARAGRAPHS = r"\n[ \n]*\n"
+SEVERAL_LINES = r"[^ \n] *\n *[^ \n]"
 # No spelling makes a form longer or shorter than this.
 STRETCH = 3
 
 
 def cleaned(text: Column) -> Column:
     """The text without copyright lines, case and punctuation; line breaks stay."""
-    return F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINES, "\n")), DROPPED, " ")
+    low = F.lower(text)
+    hinted = F.lit(False)
+    for hint in COPYRIGHT_HINTS:
+        hinted = hinted | F.contains(low, F.lit(hint))
+    return F.regexp_replace(F.when(hinted, F.regexp_replace(low, COPYRIGHT_LINES, "\n")).otherwise(low), DROPPED, " ")
+
+
+def untitled(text: Column) -> Column:
+    """A cleaned text without its title."""
+    return F.regexp_replace(text, TITLE, "$1")
 
 
 def squeezed(text: Column) -> Column:
@@ -133,54 +183,84 @@ def spelled(form: Column) -> Column:
 
 
 def registry(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(license_id, digest) of the known texts."""
+    """(license_id, digest, length) of the texts, or of REGISTRY and DIGESTS."""
     rows = spark.createDataFrame(REGISTRY if texts is None else texts, "license_id string, text string")
-    return digests_of(rows)
+    if texts is not None:
+        return digests_of(rows)
+    return digests_of(rows).unionByName(spark.createDataFrame(DIGESTS, "license_id string, digest string, length int")).distinct()
+
+
+def folder(spark: SparkSession, path: str) -> DataFrame:
+    """(license_id, digest, length) of a folder of licence texts, each named by its id, with or without .txt."""
+    files = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"), F.regexp_replace(F.element_at(F.split("_metadata.file_path", "/"), -1), "[.]txt$", "").alias("license_id"))
+    return digests_of(files)
 
 
 def digests_of(texts: DataFrame) -> DataFrame:
-    """(license_id, digest) of a table (license_id, text)."""
-    form = texts.select("license_id", spelled(squeezed(cleaned(F.col("text")))).alias("form")).where("form <> ''")
+    """(license_id, digest, length) of a table (license_id, text)."""
+    form = texts.select("license_id", spelled(squeezed(untitled(cleaned(F.col("text"))))).alias("form")).where("form <> ''")
     return form.select("license_id", F.sha2("form", 256).alias("digest"), F.length("form").alias("length")).distinct()
 
 
-def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text", small: bool = True) -> DataFrame:
-    """(doc_id, license_id, scope, n): units of docs whose canonical digest is a known one; scope is
-    'document' (the whole text) or 'line'.  A one-line text is a document unit and a line unit."""
+def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text", small: bool | None = None) -> DataFrame:
+    """(doc_id, license_id, scope, n): units of docs whose canonical digest is a known one; scope is 'document' (the whole
+    text), 'line' or 'block' (a run of paragraphs).  A one-line text is a document unit and a line unit.  small tells
+    whether known may be broadcast; if it is None, known is counted."""
+    least, most, n = known.agg(F.min("length"), F.max("length"), F.count("*")).first()
+    small = n <= BROADCAST_ROWS if small is None else small
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), cleaned(F.col(text).cast("string")).alias("text")).where("text is not null")
-    whole = F.array(F.struct(F.lit("document").alias("scope"), squeezed(F.col("text")).alias("form")))
-    lines = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.lit("line").alias("scope"), F.trim(x).alias("form")))
-    units = rows.select("doc_id", F.explode(F.concat(whole, lines)).alias("unit")).select("doc_id", "unit.*")
+    rows = rows.withColumn("body", untitled(F.col("text")))
+    part = F.transform(F.split("body", PARAGRAPHS, -1), lambda x: F.struct(squeezed(x).alias("form"), squeezed(untitled(x)).alias("bare"), x.rlike(SEVERAL_LINES).alias("several")))
+    rows = rows.withColumn("parts", F.when(F.col("body").rlike(PARAGRAPHS), F.filter(part, lambda x: x["form"] != "")).otherwise(F.array().cast("array<struct<form:string,bare:string,several:boolean>>")))
+    runs = F.expr(f"""if(size(parts) < 2, cast(array() as array<string>), flatten(transform(sequence(1, size(parts)), i ->
+      transform(sequence(1, least({RUN}, size(parts) - i + 1)), k -> if(k = size(parts) or (k = 1 and not parts[i - 1].several), '',
+        concat_ws(' ', parts[i - 1].bare, transform(slice(parts, i + 1, k - 1), x -> x.form)))))))""")
     # Digests are taken only of forms that have a known text's length, give or take what spellings change.
-    least, most = known.agg(F.min("length"), F.max("length")).first()
-    units = units.where(F.length("form").between(least // STRETCH, most * STRETCH)) if least else units.where("false")
-    units = units.select("doc_id", "scope", F.sha2(spelled(F.col("form")), 256).alias("digest"))
+    fits = lambda x: F.length(x).between((least or 1) // STRETCH, (most or 0) * STRETCH)
+    named = lambda xs, scope: F.transform(F.filter(xs, fits), lambda x: F.struct(F.lit(scope).alias("scope"), x.alias("form")))
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.trim(x))
+    units = F.concat(named(F.array(squeezed(F.col("body"))), "document"), named(lines, "line"), named(runs, "block"))
+    units = rows.select("doc_id", F.explode(units).alias("unit")).select("doc_id", "unit.scope", F.sha2(spelled(F.col("unit.form")), 256).alias("digest"))
     known = known.select("license_id", "digest")
     found = units.join(F.broadcast(known) if small else known, "digest")
     return found.groupBy("doc_id", "license_id", "scope").agg(F.count("*").alias("n"))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licences stated by whole documents and by lines of documents."""
-    return scan(table(spark, sf_dir, "documents"), registry(spark), small=len(REGISTRY) <= BROADCAST_ROWS)
+    """Licences stated by whole documents, by lines and by runs of paragraphs."""
+    return scan(table(spark, sf_dir, "documents"), registry(spark))
 
 
 def op3_sql() -> str:
     """The scan in DuckDB SQL."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    form = "regexp_replace(text, " + quoted(COPYRIGHT_LINES) + ", chr(10), 'g')"
-    form = f"regexp_replace(lower({form}), {quoted(DROPPED)}, ' ', 'g')"
-    form = f"' ' || trim(regexp_replace({form}, '[ ' || chr(10) || ']+', ' ', 'g')) || ' '"
+    clean = f"regexp_replace(regexp_replace(lower(text), {quoted(COPYRIGHT_LINES)}, chr(10), 'g'), {quoted(DROPPED)}, ' ', 'g')"
+    bare = lambda x: f"regexp_replace({x}, {quoted(TITLE)}, '\\1')"
+    squeeze = lambda x: f"trim(regexp_replace({x}, '[ ' || chr(10) || ']+', ' ', 'g'))"
+    digest = "' ' || form || ' '"
     for old, new in SPELLINGS:
-        form = f"replace({form}, {quoted(old)}, {quoted(new)})"
-    known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in REGISTRY)
+        digest = f"replace({digest}, {quoted(old)}, {quoted(new)})"
+    texts = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in REGISTRY)
+    full = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b, _ in DIGESTS)
     return f"""
-WITH known AS (SELECT DISTINCT license_id, sha256(trim({form})) AS digest FROM (VALUES {known}) AS k(license_id, text)),
+WITH known AS (
+  SELECT license_id, sha256(trim({digest})) AS digest FROM (SELECT license_id, {squeeze(bare(clean))} AS form FROM (VALUES {texts}) AS k(license_id, text))
+  UNION SELECT * FROM (VALUES {full}) AS d(license_id, digest)
+),
+docs AS (SELECT doc_id, {clean} AS text, {bare(clean)} AS body FROM documents WHERE text IS NOT NULL),
+parts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(body, {quoted(PARAGRAPHS)}), lambda x: {squeeze("x")} <> '') AS ps FROM docs
+),
+starts AS (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM parts WHERE len(ps) > 1),
+runs AS (SELECT doc_id, ps, i, unnest(range(1, least({RUN}, len(ps) - i + 1) + 1)) AS k FROM starts),
 units AS (
-  SELECT doc_id, 'document' AS scope, text FROM documents WHERE text IS NOT NULL
+  SELECT doc_id, 'document' AS scope, {squeeze("body")} AS form FROM docs
+  UNION ALL
+  SELECT doc_id, 'line', trim(unnest(string_split(text, chr(10)))) FROM docs
   UNION ALL
-  SELECT doc_id, 'line' AS scope, unnest(string_split(text, chr(10))) AS text FROM documents WHERE text IS NOT NULL
+  SELECT doc_id, 'block', {squeeze(bare("ps[i]") + " || ' ' || array_to_string(ps[i + 1:i + k - 1], ' ')")} FROM runs
+  WHERE k < len(ps) AND (k > 1 OR regexp_matches(ps[i], {quoted(SEVERAL_LINES)}))
 )
 SELECT doc_id, license_id, scope, count(*) AS n
-FROM (SELECT doc_id, scope, sha256(trim({form})) AS digest FROM units) JOIN known USING (digest)
+FROM (SELECT doc_id, scope, sha256(trim({digest})) AS digest FROM units) JOIN known USING (digest)
 GROUP BY doc_id, license_id, scope"""
