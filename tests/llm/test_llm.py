@@ -7,18 +7,16 @@ import re
 import struct
 import zlib
 from collections import Counter
-from decimal import Decimal
 
 import duckdb
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontam, langid, licenses, lm_score, pivots, pseudonyms, quality, queries, shards, simhash
+from tidemark.llm import bpe, common, decontam, langid, licenses, lm_score, pivots, pseudonyms, quality, queries, shards, simhash
 from tidemark.llm.common import connected_components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -63,7 +61,8 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for name_ in ("documents", "labels", "embeddings"):
+        con.sql(f"CREATE VIEW {name_} AS SELECT * FROM '{FOLDER}/{name_}.parquet'")
     got, want = queries.QUERIES[name](spark, FOLDER).toPandas(), con.sql(queries.ORACLE_SQL[name]).df()
     text = lambda df: sorted(str(tuple(None if pd.isna(x) else x for x in r)) for r in df[sorted(df.columns)].astype(object).itertuples(index=False, name=None))
     assert text(got) == text(want)
@@ -99,6 +98,44 @@ def test_bundles_are_the_definition():
     assert (got == np.stack([slow_bundle(t, 256, 5) for t in texts])).all()
 
 
+def test_bundles_of_long_and_rich_texts_are_the_definition(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcé Σσς'’,İ\n中文字", k=n)) for n in (900, 3, 700)] + ["".join(map(chr, range(0x4E00, 0x4E00 + 300)))]
+    monkeypatch.setattr(langid, "CHUNK_BYTES", 64)
+    monkeypatch.setattr(langid, "STEP", 16)
+    monkeypatch.setattr(langid, "MOST_VECTORS", 20)
+    got = langid.bundles([t.encode() for t in texts], np.arange(4), 4, 64, 5)
+    assert (got == np.stack([slow_bundle(t, 64, 5) for t in texts])).all()
+
+
+def test_bundles_hold_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 1_300_000))).encode() + " ".join(map(chr, rng.integers(0x4E00, 0x9FA0, 30_000))).encode()
+    cut_up = " ".join(text.decode()[i : i + 900] for i in range(0, 1_300_000, 900)).encode()
+    tracemalloc.start()
+    langid.bundles([cut_up], np.zeros(1, int), 1, langid.DIM, langid.SEED)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(cut_up) > 3_800_000 and peak < 500 << 20
+
+
+def test_langid_predicts_by_brute_force_cosine(spark, real):
+    rows = real["documents"].where("n_chars < 1500").limit(40)
+    profiles = langid.learn(real["documents"].where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2), dim=256)
+    learned = real["documents"].toPandas()
+    learned = learned[[zlib.crc32(str(i).encode()) % 4 != 2 for i in learned.doc_id]].dropna(subset=["lang", "text"])
+    sums = {k: sum(langid.bundles([t.encode()], np.zeros(1, int), 1, 256, langid.SEED)[0] for t in g.text) for k, g in learned.groupby("lang")}
+    langs = sorted(sums)
+    matrix = np.stack([sums[k] / np.linalg.norm(sums[k]) for k in langs])
+    assert profiles.langs == tuple(langs) and np.allclose(profiles.matrix, matrix)
+    for r in langid.predict(rows, profiles, keep=("text",)).collect():
+        v = slow_bundle(r["text"], 256, langid.SEED)
+        cos = matrix @ v / np.linalg.norm(v)
+        assert r["lang_pred"] == langs[int(cos.argmax())] and math.isclose(r["score"], max(0.0, cos.max()), abs_tol=1e-9)
+
+
 def test_langid_held_out(spark, real):
     got = langid.op1_language_id(spark, FOLDER).toPandas().merge(real["documents"].select("doc_id", "lang", "n_chars").toPandas(), on="doc_id")
     held = got[got.held_out & (got.n_chars >= 40)]
@@ -218,6 +255,132 @@ def test_decontam_finds_long_runs_and_copies_with_a_slip(spark):
     assert got == {(1, 0): 22, (2, 1): 93, (3, 2): 63 - 8}
 
 
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def slow_template(text, names=True):
+    """(token, kind, slot) of each word by plain rules: token is the word, or its kind where it is a slot."""
+    out, number, opens = [], False, True
+    words = [w for line in (text or "").split("\n") for w in [*line.split(), "\n"]]
+    plain = [w for w in words if w != "\n"]
+    runs, at = [0] * len(plain), 0
+    while at < len(plain):  # runs of capitalised words
+        end = at
+        while end < len(plain) and plain[end].strip(PUNCTUATION)[:1].isupper():
+            end += 1
+        runs[at : max(end, at + 1)] = [end - at] * (max(end, at + 1) - at)
+        at = max(end, at + 1)
+    i = 0
+    for w in words:
+        if w == "\n":
+            opens = True
+            continue
+        core = w.strip(PUNCTUATION) or w
+        low = core.lower()
+        m = decontam.QUANTITY.fullmatch(low.encode())
+        kind = None
+        if low.encode() in decontam.NUMBER_WORDS or decontam.NUMBER.fullmatch(low.encode()) or m and m[1] in decontam.UNITS:
+            kind = "number"
+        elif number and low.encode() in decontam.UNITS:
+            kind = "unit"
+        elif names and core[0].isupper() and not opens and runs[i] <= decontam.NAME_WORDS:
+            kind = "name"
+        out.append((kind and f"<{kind}>" or low, kind, low))
+        number = kind == "number"
+        opens = any(c in ".!?:|" for c in w[len(w.rstrip(PUNCTUATION)) :])
+        i += 1
+    return out
+
+
+def slow_matches(rows, items):
+    """{(doc_id, item_id): (n_windows, n_matched)} by comparing every window of an item with every one of a row."""
+    out = {}
+    for item_id, text in set(items):
+        own, plain = slow_template(text), slow_template(text, names=False)
+        size = min(decontam.WINDOW, len(own))
+        starts = [s for s in range(len(own) - size + 1) if size and sum(not k for _, k, _ in own[s : s + size]) >= decontam.MIN_LITERALS]
+        verbatim = not starts
+        starts = starts or (list(range(len(own) - size + 1)) if size else [])
+        for doc_id, doc in set(rows):
+            words = slow_template(doc)
+            if len(own) < decontam.SHORT and len(words) != len(own):
+                continue
+            held = {}
+            for place, s in enumerate(starts):
+                for p in range(len(words) - size + 1):
+                    for x in [own, plain]:
+                        a, b = x[s : s + size], words[p : p + size]
+                        if verbatim and [w[2] for w in a] != [w[2] for w in b] or not verbatim and [w[0] for w in a] != [w[0] for w in b]:
+                            continue
+                        pairs = tuple((v[2], w[2]) for v, w in zip(a, b, strict=True) if v[1])
+                        same = all(v == w for v, w in pairs)
+                        for band in [(p - s) // 8 * 2, (p - s + 4) // 8 * 2 + 1, *(["same"] if same else [])]:
+                            held.setdefault(band, set()).add((place, pairs))
+            for windows in held.values():
+                values = {x for _, pairs in windows for x in pairs}
+                if len(values) != len({v for v, _ in values}):
+                    windows = {w for w in windows if all(v == x for v, x in w[1])}
+                places = sorted({p for p, _ in windows})
+                run = best = 0
+                for i, p in enumerate(places):
+                    run = run + 1 if i and places[i - 1] == p - 1 else 1
+                    best = max(best, run)
+                if places and (len(places) / len(starts) >= decontam.MIN_COVERAGE or best >= decontam.MIN_RUN):
+                    old = out.get((doc_id, item_id), (1, 0))
+                    out[doc_id, item_id] = max(old, (len(starts), len(places)), key=lambda x: x[1] / x[0])
+    return out
+
+
+def test_decontam_equals_brute_force(spark):
+    rng = random.Random(4)
+    names, units = ["Tom", "Ann", "Bo", "Ada Byron", "Zed"], ["km", "kg", "days"]
+    plain = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe") for b in ("ra", "sto", "ven")]
+
+    def sentence(n):
+        kinds = rng.choices(["plain", "name", "number", "quantity"], [8, 1, 1, 1], k=n)
+        return [{"plain": rng.choice(plain), "name": rng.choice(names), "number": str(rng.randrange(90)), "quantity": f"{rng.randrange(9)} {rng.choice(units)}"}[k] for k in kinds]
+
+    items = [(i, " ".join([rng.choice(plain), *sentence(rng.choice([1, 3, 6, 14, 14, 30, 60]))])) for i in range(40)]
+    items += [(100, "what is 7 times 8"), (101, "12 7 9 30 5 6 7 8 9 10 11"), (102, "yes"), (103, None), (104, ""), (0, items[1][1])]
+    rows = []
+    for _, text in items[:40] * 6:
+        words = text.split()
+        change = {w: rng.choice([str(rng.randrange(90)), w]) if w.isdigit() else rng.choice([*names, w]) if w[0].isupper() else w for w in words}
+        new = [change[w] for w in words]
+        for _ in range(rng.choice([0, 0, 0, 1, 2])):
+            new[rng.randrange(len(new))] = rng.choice([*plain, "Tom", "5"])
+        cut = rng.randrange(len(new) + 1) if rng.random() < 0.3 else 0
+        parts = [new[:cut], new[cut:]]
+        body = parts[0] + sentence(rng.choice([1, 3, 12])) + parts[1] if cut else new
+        rows.append((rng.choice([None, *range(150)]), " ".join([rng.choice(plain), *sentence(5), *body, *sentence(6)])))
+    rows += [(500, "so what is 7 times 8 then"), (501, "so what is 7 times 9 then"), (502, "Yes!"), (503, "yes and no"), (504, "a 12 7 9 30 5 6 7 8 9 10 11 z"), (505, None), (506, ""), rows[0]]
+    got = decontam.matches(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), spark.createDataFrame(items, "item_id long, text string")).collect()
+    ours = {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_matched"]) for r in got}
+    want = slow_matches(rows, [i for i in items if i[1]])
+    assert ours == want and len(want) > 60
+    assert {(500, 100), (502, 102), (504, 101)} <= set(want) and not {(501, 100), (503, 102)} & set(want)
+
+
+TEMPLATE = "Tom has 12 apples and Ann Lee gives Tom 5 more apples so how many km does Tom walk when 12 trees are 3 km apart"
+
+
+def test_decontam_judges_one_alignment_of_one_row(spark):
+    items = spark.createDataFrame([(1, TEMPLATE)], "item_id long, text string")
+    first, second = TEMPLATE.replace("12", "40").split()[:12], TEMPLATE.replace("12", "77").split()[12:]
+    copies = [TEMPLATE.replace("12", "40"), TEMPLATE.replace("12", "77").replace("Tom", "Bob")]
+    rows = [(1, " ".join([*first, *["other"] * 20, *second])), (2, copies[0]), (2, copies[1]), (None, copies[0]), (None, copies[1]), (3, TEMPLATE.replace("Ann Lee", "Zoe"))]
+    got = {(r["doc_id"], r["coverage"]) for r in decontam.matches(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert {i for i, _ in got} >= {2, None} and (2, 1.0) in got and (None, 1.0) in got and 1 not in {i for i, _ in got}
+
+
+def test_decontam_stage_with_clashing_names(spark, real):
+    text = real["benchmark"].first()["text"]
+    names = "doc_id long, text string, digest int, item_id int, row int, id int, own_digest int, __key int, __bad int"
+    rows = [(1, "clean words of no account at all, not one of them", 1, 2, 3, 4, 5, 6, 7), (1, f"before {text} after", 1, 2, 3, 4, 5, 6, 7)]
+    got = decontam.stage(spark, spark.createDataFrame(rows, names), FOLDER).collect()
+    assert [tuple(r) for r in got] == [rows[0]]
+
+
 def test_decontam_awkward(spark, docs, none):
     items = spark.createDataFrame([(1, ENGLISH), (2, GERMAN)], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, items).collect()}
@@ -253,6 +416,55 @@ def test_license_forms(spark, none, docs):
     assert licenses.scan(df, licenses.registry(spark, [("X", "!!")])).count() == 0
 
 
+def laid_out(text, prefix=""):
+    """A licence text in paragraphs of short lines, as files have it."""
+    import textwrap
+
+    parts = re.split(r"(?=The above copyright notice|THE SOFTWARE IS|THIS SOFTWARE IS|\b[123]\. )", text)
+    lines = [line for p in parts if p.strip() for line in ["", *textwrap.wrap(p, 60)]][1:]
+    return "\n".join(f"{prefix}{line}".rstrip() for line in lines)
+
+
+def license_files():
+    known = dict(reversed(licenses.REGISTRY))
+    mit, bsd = laid_out(known["MIT"]), laid_out(known["BSD-3-Clause"])
+    notice = next(t for k, t in licenses.REGISTRY if k == "Apache-2.0" and "you may not use" in t)
+    return [
+        ("MIT", "document", f"MIT License\n\nCopyright (c) 2021 Some One\n\n{mit}\n"),
+        ("MIT", "document", f"The MIT License (MIT)\n=====================\n\nCopyright © 2021 Some One <a@b.c>\nCopyright (c) 2022 More\n\n{mit}"),
+        ("MIT", "document", mit),
+        ("BSD-3-Clause", "document", f"BSD 3-Clause License\n\nCopyright (c) 2021, Some One\nAll rights reserved.\n\n{bsd}"),
+        ("BSD-3-Clause", "document", f"Copyright (c) 2021, Some One\nAll rights reserved.\n\n{re.sub('(?m)^[123][.] ', '* ', bsd)}"),
+        ("MIT", "block", "/*\n * Copyright (c) 2021 Some One\n *\n" + laid_out(known["MIT"], " * ") + "\n */\n\n#include <x.h>\n\nint main() { return 0; }\n"),
+        ("Apache-2.0", "block", "#!/bin/sh\n#\n# Copyright 2021 Some One\n#\n" + laid_out(notice, "# ") + "\n#\n\necho done\n\necho more\n"),
+        ("BSD-3-Clause", "block", "Some prose goes here.\n\nBSD 3-Clause License\n\n" + bsd + "\n\nAnd some more prose goes there."),
+    ]
+
+
+def test_license_files_are_found(spark):
+    import os
+
+    files = license_files()
+    for name, found in (("Apache-2.0", "Apache-2.0"), ("GPL-3", "GPL-3.0-only"), ("GPL-2", "GPL-2.0-only"), ("MPL-2.0", "MPL-2.0"), ("LGPL-2.1", "LGPL-2.1-only")):
+        if os.path.exists(path := f"/usr/share/common-licenses/{name}"):
+            with open(path, encoding="utf-8") as f:
+                files.append((found, "document", f.read()))
+    files.append((None, None, "MIT License\n\nThis is no licence but a text that speaks of one.\n\nIt has paragraphs\nof several lines."))
+    df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(files)], "doc_id long, text string")
+    got = {(r["doc_id"], r["license_id"], r["scope"]) for r in licenses.scan(df, licenses.registry(spark)).collect()}
+    assert got >= {(i, k, scope) for i, (k, scope, _) in enumerate(files) if k} and {i for i, _, _ in got} == set(range(len(files) - 1))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([(i, t) for i, (_, _, t) in enumerate(files)], columns=["doc_id", "text"]))
+    assert {(r[0], r[1], r[2]) for r in con.sql(licenses.op3_sql()).fetchall()} == got
+
+
+def test_license_folder(spark, tmp_path):
+    (tmp_path / "House-1.0.txt").write_text("HOUSE LICENSE\n\nCopyright 2020 X\n\nDo as you like,\nbut wipe your feet.")
+    known = licenses.folder(spark, str(tmp_path))
+    df = spark.createDataFrame([(1, "do as you like but wipe your feet")], "doc_id long, text string")
+    assert [tuple(r) for r in licenses.scan(df, known).where("scope = 'document'").collect()] == [(1, "House-1.0", "document", 1)]
+
+
 # 4. SimHash
 
 
@@ -447,6 +659,40 @@ def test_quality_rules_compile_as_they_fit():
     assert ((total > 0) == (y == 1)).mean() > 0.95
 
 
+def slow_statistics(text):
+    t = text or ""
+    least, words = max(1, len(t)), t.split(" ")
+    out = {k: sum(c in chars for c in t) / least for k, chars in quality.SHARES.items()}
+    return out | {"log_chars": math.log1p(len(t)), "word_chars": len(t) / len(words), "distinct_words": len(set(words)) / len(words)}
+
+
+def test_quality_equals_brute_force(spark, real):
+    labels = {r["doc_id"]: r["quality"] for r in real["labels"].collect() if r["doc_id"] is not None and r["quality"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    rows = {r["doc_id"]: r["text"] for r in real["documents"].collect()}
+    stats = {i: slow_statistics(t) for i, t in rows.items()}
+    names = list(slow_statistics(""))
+    used = sorted(i for i in labels if i in rows)
+    model = quality.fit(names, np.array([[stats[i][k] for k in names] for i in used]), np.array([float(labels[i]) for i in used]))
+    assert model.rules
+    for r in quality.op7_quality(spark, FOLDER).collect():
+        total = model.intercept
+        for rule in model.rules:
+            total += rule.weight * all((stats[r["doc_id"]][k] > v) == above for k, above, v in rule.conditions)
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-total)), rel_tol=1e-6)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.3)
+
+
+def test_quality_counts_repeats_once_and_keeps_columns(spark):
+    good, bad = [f"A fine text, number {'i' * i} of them." for i in range(40)], [f"xx!! {i}{i}{i} ##" for i in range(40)]
+    docs = [(i % 40, t) for i, t in enumerate(good)] + [(100 + i, t) for i, t in enumerate(bad)]
+    labels = [(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(40)]
+    df = lambda rows, schema: spark.createDataFrame(rows, schema).repartition(3)
+    once = quality.learn(df(docs, "doc_id long, text string"), df(labels, "doc_id long, quality int"))
+    assert once.rules and once == quality.learn(df(docs * 3, "doc_id long, text string"), df(labels * 2, "doc_id long, quality int"))
+    got = quality.score(spark.createDataFrame([("t", 1, 2, 3)], "text string, __upper int, statistics int, score int"), once).first()
+    assert got["__upper"] == 1 and got["statistics"] == 2 and 0 <= got["score"] <= 1
+
+
 def test_quality_awkward(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (6, None), (1, 1), (99, 0)], "doc_id long, quality int")
     model = quality.learn(docs, labels)
@@ -523,6 +769,81 @@ def test_values_beside_each_other(spark):
     assert got["8 12 4207 0512 7910 8084 12"] == f"8 12 {got['4207 0512 7910 8084']} 12"
 
 
+def slow_pseudonym(values, moduli, tweak, key):
+    """The permutation by its definition, for any length."""
+    half, v = len(moduli) // 2, list(values)
+    for r in range(pseudonyms.ROUNDS):
+        other = ",".join(map(str, v[half:] if r % 2 == 0 else v[:half]))
+        blocks = [hashlib.sha512((f"{key}|{tweak}|{r}|{other}" + (f"|{b}" if b else "")).encode()).hexdigest() for b in range((len(v) - 1) // 16 + 1)]
+        v = [(x + int(blocks[i // 16][i % 16 * 8 : i % 16 * 8 + 8], 16)) % moduli[i] if (i < half) == (r % 2 == 0) else x for i, x in enumerate(v)]
+    return v
+
+
+def slow_email(value, key):
+    local, domain = value.rsplit("@", 1)
+    spans = [next(((lo, n) for lo, n in pseudonyms.RANGES if lo <= ord(c) < lo + n), (ord(c), 1)) for c in local]
+    new = slow_pseudonym([ord(c) - lo for c, (lo, _) in zip(local, spans, strict=True)], [n for _, n in spans], f"email{domain.lower()}", key)
+    return "".join(chr(lo + x) for x, (lo, _) in zip(new, spans, strict=True)) + "@" + domain
+
+
+def slow_phone(value, key):
+    d = [int(c) for c in value if c.isdigit()]
+    abroad = value.startswith("+") and not re.match(r"\+1[ .(-]|\+1\d{10}$", value)
+    stay = 2 if abroad else 1 if value.startswith("0") else len(d) - 10
+    low = [0 if abroad else (i == 0) * 1 if value.startswith("0") else (i in (0, 3)) * 2 for i in range(len(d) - stay)]
+    moduli = [10 - m if x >= m else m for x, m in zip(d[stay:], low, strict=True)]
+    new = slow_pseudonym([x - m if x >= m else x for x, m in zip(d[stay:], low, strict=True)], moduli, "phone", key)
+    new = iter(d[:stay] + [x + m if m and n == 10 - m else x for x, m, n in zip(new, low, moduli, strict=True)])
+    return "".join(str(next(new)) if c.isdigit() else c for c in value)
+
+
+def slow_iban(value, key):
+    bare = value.replace(" ", "")
+    spans = [(48, 10) if c.isdigit() else (65, 26) for c in bare[4:]]
+    new = slow_pseudonym([ord(c) - lo for c, (lo, _) in zip(bare[4:], spans, strict=True)], [n for _, n in spans], f"iban{bare[:2]}", key)
+    body = "".join(chr(lo + x) for x, (lo, _) in zip(new, spans, strict=True))
+    check = 98 - int("".join(str(int(c, 36)) for c in body + bare[:2] + "00")) % 97
+    out = iter(f"{bare[:2]}{check:02d}{body}")
+    return "".join(" " if c == " " else next(out) for c in value)
+
+
+def slow_ssn(value, key):
+    a, b, c = map(int, value.split("-"))
+    a, b, c = slow_pseudonym([a - (2 if a > 666 else 1), b - 1, c - 1], [898, 99, 9999], "ssn", key)
+    return f"{a + (2 if a >= 665 else 1):03d}-{b + 1:02d}-{c + 1:04d}"
+
+
+def slow_date(value, key):
+    import datetime
+
+    form = "%Y-%m-%d" if value[4] == "-" else "%d/%m/%Y" if "/" in value else "%d.%m.%Y"
+    days = (datetime.datetime.strptime(value, form).date() - datetime.date(1900, 1, 1)).days
+    a, b = slow_pseudonym(divmod(days, 229), [319, 229], "date", key)
+    return (datetime.date(1900, 1, 1) + datetime.timedelta(a * 229 + b)).strftime(form)
+
+
+def test_pseudonyms_equal_brute_force(spark):
+    rng = random.Random(6)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    local = lambda: "".join(rng.choices("abzAZ09._+-äÖßéñжЖλ中ø", k=rng.choice([1, 3, 8, 40])))
+    values = [(slow_email, f"{rng.choice('aß中9')}{local()}@{rng.choice(['x.org', 'Firma.de', 'müller.de'])}") for _ in range(40)]
+    values += [(slow_email, x) for x in ("anna@müller.de", "müller@firma.de")]
+    values += [(slow_phone, x) for x in ("030 1234567", "0171/1234567", "+49 30 1234567", "+1 (927) 555-7911", "927-555-7911", "+44 20 7946 0958")]
+    values += [(slow_iban, x) for x in ("GB82 WEST 1234 5698 7654 32", "DE89370400440532013000")]
+    values += [(slow_ssn, f"{rng.choice([1, 665, 667, 899]):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}") for _ in range(10)]
+    values += [(slow_date, x) for x in ("1987-02-28", "28/02/1987", "31.12.2099", "1900-01-01")]
+    for key in ("k", "ab'c", "a\\b\"|é"):
+        df = spark.createDataFrame([(i, f"so {v} it is") for i, (_, v) in enumerate(values)], "doc_id long, text string")
+        got = pseudonyms.pseudonymise(df, key=key).orderBy("doc_id").collect()
+        assert [r["text"] for r in got] == [f"so {f(v, key)} it is" for f, v in values]
+
+
+def test_pii_keeps_columns_of_its_own_names(spark):
+    df = spark.createDataFrame([("mail a.b@c.org", 1, 2, 3)], "text string, __pii int, pieces int, pieces_ int")
+    got = pseudonyms.pseudonymise(df, out="new").first()
+    assert got.asDict().keys() == {"text", "__pii", "pieces", "pieces_", "new"} and got[:4] == ("mail a.b@c.org", 1, 2, 3)
+
+
 def test_pii_awkward(spark, docs, none):
     got = pseudonyms.stage(spark, docs, FOLDER)
     assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
@@ -571,36 +892,66 @@ def test_bpe_query_and_round_trip(spark, docs, none):
 # 10. Language models
 
 
-def slow_probabilities(texts):
-    counts = [Counter() for _ in range(4)]
+def slow_words(text):
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+|[^a-z0-9\x80-\U0010ffff\x20\x09-\x0D]", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def slow_lm_scores(texts, target, background):
+    """(n_tokens, score) of each text by the definition."""
+    lines = [[["", *slow_words(t), ""] for t in side if slow_words(t)] for side in (target, background)]
+    kinds = len({w for side in lines for x in side for w in x[1:]})
+    models = []
+    for side in lines:
+        one, two = Counter(w for x in side for w in x[1:]), Counter(p for x in side for p in zip(x, x[1:], strict=False))
+        n = sum(one.values())
+        models.append(lambda u, w, one=one, two=two, n=n: (two[u, w] + lm_score.PRIOR * (one[w] + 1) / (n + kinds)) / (one[u] + lm_score.PRIOR))
+    out = []
     for t in texts:
-        s = [0, 0, 0, *(int(lm_score.SYMBOL[b]) for b in t.encode())]
-        for i in range(3, len(s)):
-            for order in range(4):
-                counts[order][tuple(s[i - order : i + 1])] += 1
-
-    def p(gram):
-        if not gram:
-            return 1 / 64
-        context, lower = gram[:-1], p(gram[1:])
-        seen = {s: counts[len(context)][*context, s] for s in range(64)}
-        total, kinds = sum(seen.values()), sum(n > 0 for n in seen.values())
-        return (seen[gram[-1]] + kinds * lower) / (total + kinds) if total else lower
-
-    return p
-
-
-def test_lm_scores_are_the_definition(spark):
-    good, all_texts = ["the cat sat", "a dog", "", "ab"], ["the cat sat", "a dog", "", "ab", "zzz 12!", "é ü"]
-    df = lambda xs: spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "doc_id long, text string")
-    difference = lm_score.loss_difference(lm_score.matched_counts(df(good), df(all_texts).repartition(3)))
-    p, q = slow_probabilities(good), slow_probabilities(all_texts)
-    probe = ["the dog", "zz", "x", "", None, "12 é"]
-    for r in lm_score.score(df(probe), difference).collect():
-        t = probe[r["doc_id"]] or ""
-        s = [0, 0, 0, *(int(lm_score.SYMBOL[b]) for b in t.encode())]
-        want = [math.log(q(tuple(s[i - 3 : i + 1]))) - math.log(p(tuple(s[i - 3 : i + 1]))) for i in range(3, len(s))]
-        assert r["n_tokens"] == len(want) and math.isclose(r["ce_difference"], sum(want) / max(1, len(want)), abs_tol=1e-5)
+        w = slow_words(t)
+        line = ["", *w, ""] if w and lines[0] else []
+        loss = [math.log(models[1](u, v)) - math.log(models[0](u, v)) for u, v in zip(line, line[1:], strict=False)]
+        out.append((len(w), sum(loss) / max(1, len(loss))))
+    return out
+
+
+def test_lm_scores_are_the_definition(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "GROUP_ROWS", 2)
+    monkeypatch.setattr(lm_score, "SHARD_BYTES", 16)
+    good, rest = ["The cat sat.", "a dog", "", "ab"], ["The cat sat.", "a dog", "", "ab", "zzz 12!", "é ü--É", None, " \n"]
+    probe = ["the dog", "zz", "x", "", None, "12 é", "the cat sat"]
+    df = lambda xs: spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "doc_id long, text string").repartition(3)
+    for texts, background in ((probe, rest), (rest, None)):
+        got = lm_score.scores(df(texts), df(good), background and df(background)).orderBy("doc_id").collect()
+        for r, (n, want) in zip(got, slow_lm_scores(texts, good, rest), strict=True):
+            assert r["n_tokens"] == n and math.isclose(r["ce_difference"], want, abs_tol=1e-12)
+
+
+def test_lm_words_of_long_texts_are_whole(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("aB9é .,\n ", k=rng.choice([0, 5, 900]))).encode() for _ in range(60)] + [b"x" * 500, None, b"a " * 300]
+    whole, n = lm_score.words(texts)
+    monkeypatch.setattr(lm_score, "SEGMENT", 64)
+    pieces, m = lm_score.words(texts)
+    assert (whole == pieces).all() and (n == m).all() and n.tolist() == [len(slow_words(t and t.decode())) for t in texts]
+
+
+def test_lm_filter_loses_no_target(spark, monkeypatch):
+    docs = spark.createDataFrame([(i if i % 7 else None, str(i)) for i in range(500)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in [*range(1, 500, 3), None, None, 4]], "doc_id int")
+    want = sorted(str(i) for i in range(500) if i % 7 and (i % 3 == 1))
+    for log in (24, 7):
+        monkeypatch.setattr(lm_score, "FILTER_LOG", log)
+        assert sorted(r["text"] for r in lm_score.chosen(docs, ids).collect()) == want
+
+
+def test_lm_model_grows_with_the_corpus(spark):
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    for n in (50, 500):
+        docs = spark.createDataFrame([(i, f"{word(i)} {word(i + 1)}") for i in range(n)], "doc_id long, text string")
+        parts = lm_score.contributions(lm_score.numbered(docs, ("doc_id",), "text"), 0, 0, 1, True).toPandas()
+        found = {k for blob in parts["keys"] for k in np.cumsum(lm_score.unpacked(blob, np.uint64), dtype=np.uint64).tolist()}
+        # words and the end; pairs of a start, of neighbours and of an end
+        assert len(found) == (n + 1 + 1) + 3 * n
 
 
 def test_lm_prefers_the_target(spark, real):
@@ -610,11 +961,11 @@ def test_lm_prefers_the_target(spark, real):
 
 
 def test_lm_awkward(spark, docs, none):
-    assert (lm_score.loss_difference(lm_score.matched_counts(none, docs)) == 0).all()
-    d = lm_score.loss_difference(lm_score.matched_counts(docs.where("lang = 'en'"), docs))
-    got = lm_score.score(docs, d).collect()
+    assert {r["ce_difference"] for r in lm_score.scores(docs, none).collect()} == {0.0}
+    got = lm_score.scores(docs, docs.where("lang = 'en'"), keep=("doc_id", "score", "fp")).collect()
     assert len(got) == len(AWKWARD) and all(math.isfinite(r["ce_difference"]) for r in got)
-    assert lm_score.score(none, d).count() == 0
+    assert [r["n_tokens"] for r in got if r["doc_id"] in (3, 4, 5)] == [0, 0, 0]
+    assert lm_score.scores(none, docs).count() == 0
 
 
 # The pipeline
@@ -650,8 +1001,42 @@ def test_pipeline_stages_awkward(spark, docs, none):
         assert got.count() > 0 and stage(spark, none, FOLDER).count() == 0
 
 
-def test_slices_keep_texts_whole():
-    texts = pa.array(["a" * 10, None, "", "b" * 9_000_000, "c"])
-    parts = list(lm_score.slices(texts))
-    assert [x for p in parts for x in p.to_pylist()] == texts.to_pylist()
-    assert Decimal(len(parts)) >= 2
+def test_stage_tells_rows_of_one_id_apart(spark):
+    rows = [(1, "the first text of this id has words of its own", 5), (1, "another text altogether stands under the same id", 6), (2, "The first text of this id has  words of its own", 7), (1, "the first text of this id has words of its own", 4)]
+    got = simhash.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, row int"), FOLDER)
+    assert sorted(r["row"] for r in got.collect()) == [4, 6]
+
+
+def test_blocks_of_a_band_lose_no_link(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(70):  # chains of edits: some pairs are similar, most are not
+        words = (rng.choice(texts[-12:]) if texts else base).copy()
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append(words)
+    sets = [{tuple(w[i : i + 5]) for i in range(146)} for w in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    arrays = [simhash.shingle_set(" ".join(w).encode()) for w in texts]
+    members = spark.createDataFrame([(i, [int(x) for x in a.view(np.int64)]) for i, a in enumerate(arrays)], "node long, members array<long>")
+    mixed = spark.createDataFrame([(5, i, i, 7) for i in range(len(texts))], "key long, node long, root long, blocks int")
+    links = simhash.links_in_bands(mixed, members)
+    assert links.count() < 7 * 7 * len(texts)
+    found = {r["node"]: r["root"] for r in connected_components(links).collect()}
+    assert [found.get(i, i) for i in range(len(texts))] == root and 1 < len(set(root)) < len(texts)
+
+
+def test_cut_needs_a_shared_folder_and_is_released(spark):
+    import os
+
+    table = common.cut(spark.range(3), "probe")
+    path = table.__dict__["_cut_path"].removeprefix("file://")
+    assert table.count() == 3 and os.path.exists(path)
+    common.release(table)
+    assert not os.path.exists(path)
