@@ -23,4 +23,4 @@ def query(sql: str | None = None):
 
 
 # The modules register themselves; they need query() from above.
-from tidemark.plans import aggregates, checks, joins, revisions, rows, sets, streams  # noqa: E402, F401
+from tidemark.plans import aggregates, checks, decoders, joins, readers, revisions, rows, sets, streams  # noqa: E402, F401

@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -83,6 +84,59 @@ def zipped_csv(spark: SparkSession, path: str | list[str], schema: StructType, h
     return text.select(*(F.when(F.col(f.name) != "", F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
+def lz4_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(value, file_path) of the lines of text files in lz4 frames; a file is read by one task, in pieces."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content, name in zip(batch.column(0), batch.column(1), strict=True):
+                with pa.CompressedInputStream(pa.BufferReader(content.as_buffer()), "lz4") as stream:
+                    rest = b""
+                    while piece := stream.read(1 << 22):
+                        *lines, rest = (rest + piece).split(b"\n")
+                        yield _lines(lines, name.as_py())
+                    if rest:
+                        yield _lines([rest], name.as_py())
+
+    files = spark.read.format("binaryFile").load(path).select("content", "path")
+    return files.mapInArrow(each, "value string, file_path string")
+
+
+def _lines(lines: list[bytes], name: str) -> pa.RecordBatch:
+    text = [x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines]
+    return pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array([name] * len(text), pa.string())], names=["value", "file_path"])
+
+
+def lz4_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    """Typed CSV without a header in lz4 frames."""
+    row = F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), {"mode": "FAILFAST"})
+    return lz4_lines(spark, path).where("value <> ''").select(row.alias("r")).select("r.*")
+
+
+def lz4_json(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    """Typed JSON lines in lz4 frames."""
+    return lz4_lines(spark, path).where("value <> ''").select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def probe(spark: SparkSession, sql: str) -> DataFrame:
+    """(place, name, type) of the columns of a query, which is analysed and not run."""
+    fields = spark.sql(sql).schema.fields
+    return spark.createDataFrame([(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "place long, name string, type string")
+
+
+def verified_csv(df: DataFrame, path: str) -> int:
+    """Write CSV with a header and quoted texts, read it back, and compare header, count and rows as text; gives the count."""
+    texts = df.select(*(F.col(c).cast("string") for c in df.columns))
+    texts.write.option("header", True).option("quoteAll", True).option("nullValue", None).option("emptyValue", "").mode("errorifexists").csv(path)
+    back = df.sparkSession.read.option("header", True).option("quote", '"').option("mode", "FAILFAST").csv(path)
+    if back.columns != df.columns:
+        raise ValueError(f"{path}: header {back.columns} instead of {df.columns}")
+    same = lambda x: x.select(F.xxhash64(*(F.coalesce(F.col(c), F.lit("")) for c in df.columns)).alias("h")).agg(F.count("*"), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    if tuple(same(back)) != tuple(same(texts)):
+        raise ValueError(f"{path}: rows differ after reading back")
+    return same(back)[0]
+
+
 def json_rows(spark: SparkSession, parameter: str, schema: StructType) -> DataFrame:
     """A JSON array given as text, as a table."""
     one = spark.createDataFrame([(parameter,)], "j string")

@@ -60,6 +60,16 @@ class Folder:
         finally:
             stream.close()
 
+    def put(self, path: str, content: bytes) -> str:
+        """Write a small file below the root; gives its path."""
+        fs, p = self._fs(f"{self.root}/{path}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(content))
+        finally:
+            out.close()
+        return f"{self.root}/{path}"
+
     def _make(self, path: str, content: dict) -> None:
         """Write beside, then rename without overwriting: the file is there whole, or another's is."""
         fs, tmp = self._fs(f"{self.root}/tmp/{uuid.uuid4().hex}")
