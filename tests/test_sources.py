@@ -184,3 +184,74 @@ def test_ladder(spark):
     by = lambda e: sorted(r["strike"] for r in got if r["event"] == e)
     assert by("new") == [99.0, 101.0, 103.0] and {r["centre_source"] for r in got if r["event"] == "new"} == {"previous_settle"}
     assert {(r["centre"], r["centre_source"]) for r in got if r["event"] == "far"} == {(101.0, "median")} and by("far") == [99.0, 101.0, 103.0]
+
+
+def test_revisions_survive_the_driver(spark, tmp_path):
+    schema = StructType([StructField("k", LongType()), StructField("hash", StringType()), StructField("at", LongType())])
+    new = lambda: incremental.RevisionState(spark, f"file://{tmp_path}/s", ["k"], schema, fold=3)
+    rows = lambda n: spark.createDataFrame([(k, f"h{n}", n) for k in range(n, n + 3)], schema)
+    assert [new().commit(rows(n), n) for n in (0, 1, 1, 2, 3)] == [True, True, False, True, True] and new().done == 3
+    assert {r["k"]: r["hash"] for r in new().known().collect()} == {0: "h0", 1: "h1", 2: "h2", 3: "h3", 4: "h3", 5: "h3"}
+    assert len(new()._state()[1]) == 2  # the third commit folded what was there
+    assert {r["k"]: r["verdict"] for r in new().verdicts(spark.createDataFrame([(5, "h3", 9), (9, "x", 9), (0, "q", -1)], schema)).collect()} == {5: "unchanged", 9: "new", 0: "older"}
+
+
+def test_periods_survive_the_driver_and_writers_take_turns(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = f"file://{tmp_path}/p"
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda i: incremental.PeriodStore(spark, root).merge("2025", spark.createDataFrame([(i, "x"), (9, f"{i}")], AB), ["a"]), range(3)))
+    store = incremental.PeriodStore(spark, root)
+    assert sorted(r["a"] for r in store.read("2025").collect()) == [0, 1, 2, 9] == sorted(r["a"] for r in store.all(AB).collect())
+    assert store.read("2024") is None
+
+
+def test_lanes_resume_and_overlap(spark, tmp_path):
+    new = lambda: incremental.Lanes(spark, f"file://{tmp_path}/l", step=10, overlap=3, floor=0)
+    seen = []
+    publish = lambda low, high: seen.append((low, high)) or True
+    with pytest.raises(ValueError):
+        new().tail(5, publish)
+    new().begin(25)
+    assert new().tail(25, publish) is False and new().tail(31, lambda a, b: False) is False and new().state()[1] == 25
+    assert new().tail(31, publish) and seen == [(23, 31)] and new().state()[1] == 31
+    assert new().history(publish) and new().history(lambda a, b: False) is False and new().history(publish)
+    assert seen[1:] == [(16, 25), (6, 15)] and new().state()[2] == [(0, 5)]
+    new().begin(100)  # above a gap: it is a segment of its own, walked first, and the old one goes on after it
+    assert new().state()[1:] == (100, [(29, 100), (0, 5)])
+    while new().history(publish):
+        pass
+    covered = {x for low, high in seen for x in range(low, high + 1)}
+    assert covered == set(range(101)) and new().state()[2] == []
+    new().begin(105)  # no gap
+    assert new().state()[1] == 100
+
+
+def test_lz4_and_verified_csv(spark, tmp_path):
+    import pyarrow as pa
+
+    with pa.CompressedOutputStream(str(tmp_path / "x.lz4"), "lz4") as f:
+        f.write(b'1,"a, b"\r\n2,\n3,c')
+    assert [tuple(r) for r in tables.lz4_csv(spark, str(tmp_path / "x.lz4"), AB).collect()] == [(1, "a, b"), (2, None), (3, "c")]
+    df = spark.createDataFrame([(1, 'x "y", z'), (2, "two"), (None, None)], AB)
+    assert tables.verified_csv(df, str(tmp_path / "c")) == 3
+    with pytest.raises(Exception, match="(?i)exist"):
+        tables.verified_csv(df, str(tmp_path / "c"))
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from tidemark.storage import shared_dir
+
+    class Context:
+        master = "spark://far:7077"
+
+        @staticmethod
+        def getConf():
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_dir(Session)
