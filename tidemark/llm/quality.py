@@ -48,7 +48,9 @@ def statistics(text: Column) -> dict[str, Column]:
     n = F.length(t)
     least = F.greatest(n, F.lit(1))
     words = F.split(t, " ", -1)
-    out = {k: (n - F.length(F.translate(t, chars, ""))) / least for k, chars in SHARES.items()}
+    # One pass makes every character of a class its first one; those are counted by what goes with them.
+    classed = F.translate(t, "".join(SHARES.values()), "".join(chars[0] * len(chars) for chars in SHARES.values()))
+    out = {k: (n - F.length(F.replace(classed, F.lit(chars[0])))) / least for k, chars in SHARES.items()}
     out["log_chars"] = F.log1p(n.cast("double"))
     out["word_chars"] = n / F.size(words)
     out["distinct_words"] = F.size(F.array_distinct(words)) / F.size(words)
@@ -108,12 +110,16 @@ def paths(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int, us
 def lasso_logistic(r: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 600) -> tuple[float, np.ndarray]:
     """Intercept and weights that minimise mean logistic loss + penalty * |weights|_1 (accelerated proximal gradient)."""
     n, k = r.shape
-    step = 4.0 * n / max(1.0, np.linalg.norm(np.column_stack([np.ones(n), r]), 2) ** 2)
+    v = np.ones(k, r.dtype)
+    for _ in range(50):  # the largest singular value, by powers
+        v = r.T @ (r @ v)
+        v /= max(np.linalg.norm(v), 1e-30)
+    step = 4.0 * n / max(1.0, 1.05 * float(np.linalg.norm(r @ v)) ** 2 + n)
     w, b = np.zeros(k), float(np.log(y.mean() / (1 - y.mean())))
     v, c, t = w.copy(), b, 1.0
     for _ in range(rounds):
-        error = 1 / (1 + np.exp(-np.clip(r @ v + c, -30, 30))) - y
-        w_next = v - step * (r.T @ error) / n
+        error = 1 / (1 + np.exp(-np.clip(r @ v.astype(r.dtype) + c, -30, 30))) - y
+        w_next = v - step * (r.T @ error.astype(r.dtype)) / n
         w_next = np.sign(w_next) * np.maximum(np.abs(w_next) - step * penalty, 0)
         b_next = c - step * error.mean()
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -137,9 +143,10 @@ def fit(names: list[str], x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Ens
                 found.setdefault(held.tobytes(), (path, held))  # rules that hold for the same rows are one
     if not found:
         return fit(names, x, np.full(len(y), y.mean()))
-    r = np.stack([h for _, h in found.values()], 1).astype(float)
-    spread = r.std(0)
-    intercept, weights = lasso_logistic(r / spread, y, PENALTY)
+    held = np.stack([h for _, h in found.values()], 1)
+    share = held.mean(0)
+    spread = np.sqrt(share * (1 - share))
+    intercept, weights = lasso_logistic(held / spread.astype(np.float32), y, PENALTY)
     weights = weights / spread
     rules = [
         Rule(tuple((names[f], above, v) for f, above, v in path), float(w))
