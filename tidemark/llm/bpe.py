@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding with a pair occurrence index.
 
 A vocabulary file of the tokenizers format (BPE with an end-of-word suffix, byte-level alphabet) is
-read; its path is a parameter.  New word pieces of a batch are laid out in one linked sequence, an
+read by the driver, from a path that is a parameter, and its text is sent to the workers.  New word pieces of a batch are laid out in one linked sequence, an
 index maps every adjacent pair to all its positions, and the active pairs are applied in ascending
 rank: each merge relinks its neighbours and updates the lists of the pairs that it breaks and makes.
 Results per whitespace-free chunk are remembered in the worker, in a bounded store.
@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import table, text_chunks, tidy
 
 BITS = 20  # of an id in a pair
+LONGEST_VOCABULARY = 64 << 20
 STORE_CHUNKS = 500_000  # chunks that a worker remembers before it starts afresh
 # White_Space of Unicode, which \s means in the tokenizers library; str.split() also takes \x1c-\x1f.
 SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
@@ -47,12 +48,11 @@ def byte_letters() -> list[str]:
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str | None = None, text: str | None = None):
+        spec = json.loads(vocabulary(path) if text is None else text)
         model = spec["model"]
         if model["type"] != "BPE" or model["byte_fallback"] or model["continuing_subword_prefix"] or model["ignore_merges"]:
-            raise ValueError(f"{path}: not a plain BPE vocabulary")
+            raise ValueError(f"{path or 'the file'}: not a plain BPE vocabulary")
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if not t["normalized"]}
@@ -225,9 +225,19 @@ class Codec:
         return [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)]
 
 
-@lru_cache(maxsize=4)
-def codec(path: str) -> Codec:
-    return Codec(path)
+@lru_cache(maxsize=2)
+def codec(text: str) -> Codec:
+    """The codec of a vocabulary file's text, which a worker keeps."""
+    return Codec(text=text)
+
+
+def vocabulary(path: str) -> str:
+    """The text of a vocabulary file, which is broadcast and so may not be longer than LONGEST_VOCABULARY."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read(LONGEST_VOCABULARY + 1)
+    if len(text) > LONGEST_VOCABULARY:
+        raise ValueError(f"{path}: longer than {LONGEST_VOCABULARY} characters")
+    return text
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -238,11 +248,12 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", back: bool = False) -> DataFrame:
     """The columns keep, with ids (array of int) of the whole text, and if back with the digest of the decoded ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in text_chunks(batch.column(0), 1 << 21, 1024):
-                got = codec(path).encode_batch([(t or b"").decode("utf-8", "replace") for t in texts])
+                got = codec(shared.value).encode_batch([(t or b"").decode("utf-8", "replace") for t in texts])
                 ids = [pa.array(memoryview(g[0]).cast("I").tolist() if g[0] else [], pa.int32()) for g in got]
                 column = pa.ListArray.from_arrays(
                     pa.array([0, *_running(len(i) for i in ids)], pa.int32()), pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
@@ -260,10 +271,11 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
     """The columns keep, with text_decoded from an array of ids; null ids decode to the empty text."""
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [codec(path).decode(x for x in (i.as_py() or []) if x is not None) for i in batch.column(0)]
+            out = [codec(shared.value).decode(x for x in (i.as_py() or []) if x is not None) for i in batch.column(0)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out, pa.string())], names=[*batch.schema.names[1:], "text_decoded"])
 
     rows = encoded.select(F.col(ids).cast("array<int>").alias("__ids"), *keep)
@@ -279,12 +291,13 @@ def _running(lengths: Iterable[int]) -> Iterator[int]:
 
 def digests(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """The columns keep, with n_tokens and the digests of ids and decoded text, without moving either out of the worker."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, ids, back = [], [], []
             for _, texts in text_chunks(batch.column(0), 1 << 21, 1024):
-                for raw, decoded in codec(path).encode_batch([(t or b"").decode("utf-8", "replace") for t in texts]):
+                for raw, decoded in codec(shared.value).encode_batch([(t or b"").decode("utf-8", "replace") for t in texts]):
                     n.append(len(raw) // 4)
                     ids.append(hashlib.sha256(raw).hexdigest())
                     back.append(hashlib.sha256(decoded).hexdigest())

@@ -261,7 +261,7 @@ def op10_sql() -> str:
     found = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[{letters}]+|[^{letters}\\x20\\x09-\\x0D]')"
     p = lambda both, own, before, n: f"(({both} + {PRIOR} * ({own} + 1.0) / ({n} + kinds)) / ({before} + {PRIOR}))"
     return f"""
-WITH docs AS (
+WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS good, {found} AS ws
   FROM documents
 ),

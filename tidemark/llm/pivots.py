@@ -233,3 +233,21 @@ def text_of(v: str):
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of every vector."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_sql() -> str:
+    """Links and components in DuckDB SQL, by comparing all pairs of a label."""
+    return f"""
+WITH RECURSIVE rows AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+scaled AS (
+  SELECT r, label, list_transform(e, lambda x: x / m) AS e FROM (
+    SELECT *, list_max(list_transform(e, lambda x: abs(x))) AS m FROM rows
+    WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+  ) WHERE m > 0
+),
+unit AS MATERIALIZED (SELECT r, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM scaled),
+links AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM unit a JOIN unit b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r AND list_dot_product(a.e, b.e) >= {COSINE}),
+reach(r, s) AS (SELECT r, r FROM rows UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.s = links.a),
+roots AS (SELECT reach.r, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.s GROUP BY reach.r),
+counts AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM rows JOIN roots USING (r) LEFT JOIN counts USING (r)"""

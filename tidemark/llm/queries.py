@@ -24,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": licenses.op3_sql(),
     "op5_sharding": shards.op5_sql(),
+    "op6_embedding_near_dedup": pivots.op6_sql(),
     "op10_lm_scoring": lm_score.op10_sql(),
 }
