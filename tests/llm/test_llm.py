@@ -1040,3 +1040,26 @@ def test_cut_needs_a_shared_folder_and_is_released(spark):
     assert table.count() == 3 and os.path.exists(path)
     common.release(table)
     assert not os.path.exists(path)
+
+
+def test_pipeline_against_brute_force_of_five_words(spark, real):
+    """As test_pipeline_against_brute_force, with the links that the stage has to make: two bits of three-word fingerprints, or
+    sets of five-word shingles that are alike by 0.8 or more, every pair compared."""
+    out = corpus_pipeline.run(spark, FOLDER).toPandas().set_index("doc_id")
+    d = real["documents"].toPandas().set_index("doc_id")
+    bench = real["benchmark"].toPandas().text.tolist()
+    sets = []
+    for t in d.text:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    fps = [slow_fingerprint(t) for t in d.text]
+    root = list(range(len(d)))
+    for a in range(len(d)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= 2 or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    least = {r: min(i for i, x in zip(d.index, root, strict=True) if x == r) for r in set(root)}
+    d = d[[least[r] == i for r, i in zip(root, d.index, strict=True)]]
+    d = d[[not any(b in t for b in bench) for t in d.text]]
+    assert sorted(out.index) == sorted(d.index)
