@@ -325,3 +325,15 @@ def test_content_digest_depends_on_content_alone(spark):
     assert len({first, *others}) == 8
     with pytest.raises(Exception, match="repeated"):
         digest([*rows, rows[7]])
+
+
+def test_a_stores_digest_is_of_its_content(spark, tmp_path):
+    stores = [C.Store(spark, f"file://{tmp_path}/{k}", SPECS) for k in "ab"]
+    a, b = stores
+    a.publish(1, batch(spark, [("a", 5, "old"), ("b", C.EPOCH_SLOTS, "h")], []))
+    a.publish(2, batch(spark, [("a", 5, "h")], [("a/0", "a", 5, "h")]))
+    b.publish(9, batch(spark, [("b", C.EPOCH_SLOTS, "h"), ("a", 5, "h")], [("a/0", "a", 5, "h")]))
+    first = a.digest()
+    assert first == b.digest() and a.compact("txs", C.CompactionPolicy(head_files=2)) == 2 and a.digest() == first
+    b.publish(10, batch(spark, [("c", 6, "h")], []))
+    assert b.digest() != first

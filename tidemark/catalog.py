@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.quality import content_digest
 from tidemark.operators.relational import children_of_winners, latest_revision
 from tidemark.storage import Conflict, Folder
 
@@ -250,6 +251,12 @@ class Store(Folder):
             rows = children_of_winners(rows, self.latest(spec.parent, low, high, catalog), spec.parent_on)
         return rows.select(*spec.schema.fieldNames())
 
+    def digest(self, catalog: Catalog | None = None) -> str:
+        """SHA-256 of the newest revisions of all tables, names and types included: equal for equal content, however it is cut into files."""
+        catalog = catalog or self.snapshot()
+        each = (content_digest(self.latest(name, catalog=catalog), name, spec.key).first()["digest"] for name, spec in self.tables.items())
+        return hashlib.sha256("".join(each).encode()).hexdigest()
+
     def attach(self, low: int | None = None, high: int | None = None) -> Catalog:
         """Temporary views of all tables, <name> and <name>_raw, over one snapshot."""
         catalog = self.snapshot()

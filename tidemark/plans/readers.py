@@ -246,3 +246,36 @@ def priority_order(spark, d):
 
     rows = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), "o_orderpriority")
     return numbered(rows, [], [F.desc("day"), "o_orderpriority", "o_orderkey"], "place").select("o_orderkey", "place")
+
+
+@query("""
+SELECT event_type AS symbol, epoch_us(ts) // 3600000000 * 3600000 AS open_time_ms, count(*) AS trades, min(value) AS low, max(value) AS high, strftime(date_trunc('hour', ts), '%Y-%m-%d') AS day
+FROM events GROUP BY ALL""")
+def market_feed(spark, d):
+    """DEC-15, SCAN-03: a feed of hourly bars, from files of its form to its typed table with the label of each row's period file."""
+    from functools import reduce
+
+    from tidemark.functions.scalar import epoch_hour
+    from tidemark.sources import market_data as M
+
+    bars = table(spark, d, "events").groupBy("event_type", (epoch_hour("ts") * 3_600_000).alias("open_time")).agg(F.count("*").alias("count"), F.min("value").alias("low"), F.max("value").alias("high"))
+    root, kinds = state_dir(spark), StructType.fromDDL(M.KLINE.columns)
+    bars.select("event_type", *(F.col(f.name).cast(f.dataType) if f.name in bars.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in kinds)).write.partitionBy("event_type").option("header", True).csv(root)
+    names = [r[0] for r in bars.select("event_type").distinct().collect()]  # a feed's symbols, a folder of files for each
+    read = (M.read(spark, "binance_klines", f"{root}/event_type={n}", n) for n in names)
+    return reduce(lambda a, b: a.unionByName(b), read).select("symbol", "open_time_ms", "trades", "low", "high", M.period_of("ts", "day").alias("day"))
+
+
+@query("""
+SELECT p_partkey, 'poly' || p_partkey AS token_id, p_retailprice AS price, CAST(1760000000 + p_partkey AS BIGINT) AS time_s, CAST(p_size AS BIGINT) AS outcome_index FROM part""")
+def nested_feed(spark, d):
+    """DEC-15, SCAN-08: nested answers as flat rows; entries without an id are left out."""
+    from tidemark.sources import market_data as M
+
+    entry = F.struct((F.lit(1760000000) + F.col("p_partkey")).cast("long").alias("t"), F.col("p_retailprice").alias("p"), F.concat(F.lit("poly"), "p_partkey").alias("token_id"), F.col("p_size").cast("long").alias("outcome_index"))
+    lines = table(spark, d, "part").select("p_partkey", F.to_json(F.struct(F.struct(F.array(entry, entry.withField("token_id", F.lit(None).cast("string"))).alias("history")).alias("data"))).alias("answer"))
+    kinds = StructType.fromDDL(M.FEEDS["polymarket_prices"].columns)
+    answers = lines.select("p_partkey", F.from_json("answer", f"struct<data:struct<history:array<{kinds.simpleString()}>>>").alias("a"))
+    flat = answers.select("p_partkey", F.explode(F.filter("a.data.history", lambda x: x["token_id"].isNotNull())).alias("x"))
+    keyed = M.project(flat.select(F.to_json(F.struct("p_partkey")).alias("outcome"), *(F.col(f"x.{f.name}").alias(f.name) for f in kinds if f.name != "outcome")), M.FEEDS["polymarket_prices"])
+    return keyed.select(F.get_json_object("outcome", "$.p_partkey").cast("long").alias("p_partkey"), "token_id", "price", "time_s", "outcome_index")

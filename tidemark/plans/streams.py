@@ -74,3 +74,24 @@ def two_lanes(spark, d):
         lanes.history(publish)
     held = store.read("all")
     return held.agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.lit(lanes.state()[1]).alias("mark"))
+
+
+@query("""
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids, max(event_id) AS newest FROM events GROUP BY event_type""")
+def bounded_batches(spark, d, files=4):
+    """STR-01, STR-02, STR-05: two sources, newest files first, in micro-batches of one file each, written exactly once: a repeated batch finds itself done."""
+    from tidemark.operators.relational import latest_revision
+
+    events = table(spark, d, "events").select("event_id", "event_type", "user_id")
+    root = I.state_dir(spark)
+    for k in (0, 1):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == k).repartition(files, "event_id").write.parquet(f"{root}/source-{k}")
+    sources = [I.file_stream(spark, f"{root}/source-{k}", events.schema, files_per_batch=1, newest_first=True) for k in (0, 1)]
+    log = I.DeltaLog(spark, f"{root}/log", events.schema, lambda rows: latest_revision(rows, ["event_id"], ["event_type", "user_id"]))
+
+    def each(batch, number):
+        log.commit(batch, number)
+        log.commit(batch, number)  # as after a restart
+
+    I.run_available(sources[0].unionByName(sources[1]), each, f"{root}/checkpoint")
+    return log.rows().groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"), F.max("event_id").alias("newest"))
