@@ -16,8 +16,6 @@ are not read.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,7 +147,6 @@ DIGESTS: list[tuple[str, str, int]] = [
 COPYRIGHT_LINES = r"(^|\n)[ \t*#/;-]*(copyright:|copyright[ \t]*(\(c\)|©)|copyright[ \t][^\n]*([0-9]{4}|yyyy|<year>|authors)|\(c\)[ \t]|©|all rights reserved)[^\n]*"
 COPYRIGHT_HINTS = ("copyright", "(c)", "©", "all rights reserved")
 DROPPED = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
-DROPPED_CHARACTERS = "".join(chr(i) for i in range(128) if chr(i) != "\n" and not re.match("[a-z0-9]", chr(i)))  # the same in ASCII
 # A title before something else, in a cleaned text.
 TITLE = r"^[ \n]*(?:[a-z0-9]+ ){0,7}licen[cs]e(?: [a-z0-9]+){0,3} *\n([ \n]*[^ \n])"
 PARAGRAPHS = r"\n[ \n]*\n"
@@ -165,7 +162,7 @@ def cleaned(text: Column) -> Column:
     for hint in COPYRIGHT_HINTS:
         hinted = hinted | F.contains(low, F.lit(hint))
     kept = F.when(hinted, F.regexp_replace(low, COPYRIGHT_LINES, "\n")).otherwise(low)
-    return single_spaced(F.translate(kept, DROPPED_CHARACTERS, " " * len(DROPPED_CHARACTERS)))
+    return F.regexp_replace(kept, DROPPED, " ")
 
 
 def single_spaced(text: Column) -> Column:
