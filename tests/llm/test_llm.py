@@ -638,6 +638,13 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert pivots.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_in_single_precision_give_the_same(spark):
+    rows = [(i, v, label) for i, v, label in some_vectors()]
+    frame = lambda kind: spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
+    a, b = (sorted(map(tuple, pivots.near_duplicates(frame(k)).collect())) for k in ("float", "double"))
+    assert a == b and sum(r[1] for r in a) > 0
+
+
 # 7. Quality
 
 

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import connected_components, cut, table, tidy
 from tidemark.llm.simhash import roots
@@ -119,13 +120,14 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, "prefix"])
 
     described = points.select("v", "gid", "label", "n")
-    described = described.mapInArrow(tidy(describe), "v array<double>, gid long, label string, n long, prefix array<int>")
+    described = described.mapInArrow(tidy(describe), f"v {points.schema['v'].dataType.simpleString()}, gid long, label string, n long, prefix array<int>")
     pairs = F.array(*(F.struct(F.get("sorted", a).alias("p"), F.get("sorted", b).alias("q")) for a, b in combinations(range(PREFIX), 2)))
     described = described.withColumn("sorted", F.array_sort("prefix"))
     described = cut(described.select("gid", "label", "n", "v", "sorted", F.size("v").alias("width")), "prefixes")
     # A length that fewer vectors than PREFIX have has shorter prefixes.
     listed = described.withColumn("pair", F.explode(pairs)).where("pair.p is not null and pair.q is not null")
-    listed = listed.select("gid", "label", "n", "v", "sorted", "width", "pair.p", "pair.q")
+    # The lists hold ids; a vector moves once to meet those, and then only to the lists where it has a partner.
+    listed = listed.select("gid", "label", "width", "pair.p", "pair.q")
 
     key = ["label", "width", "p", "q"]
     long = listed.select(*key).groupBy(*key).agg(F.count("*").alias("size")).where(F.col("size") > 1)
@@ -133,7 +135,8 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
     # A vector alone in a list has no partner there.
     dealt = listed.join(long, key).withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select(*key, "gid", "n", "v", "sorted", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    dealt = dealt.select(*key, "gid", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    dealt = dealt.join(described.select("gid", "n", "v", "sorted"), "gid")
 
     order = [*key, "lo", "hi"]
     names = [*order, "gid", "n", "block", "v", "sorted"]
@@ -202,7 +205,9 @@ def _changes(rows: pa.Table, keys: list[str]) -> np.ndarray:
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
-    v = F.col(vector).cast("array<double>")
+    # Single-precision components stay so while they move; they are compared in double precision.
+    single = vectors.schema[vector].dataType == T.ArrayType(T.FloatType(), vectors.schema[vector].dataType.containsNull)
+    v = F.col(vector) if single else F.col(vector).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0.0)
     usable = F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.col(label).isNotNull(), F.lit(False))
     rows = vectors.select(
