@@ -155,19 +155,12 @@ SEVERAL_LINES = r"[^ \n] *\n *[^ \n]"
 STRETCH = 3
 
 
-def cleaned(text: Column) -> Column:
-    """The text without copyright lines, case and punctuation; line breaks stay."""
-    low = F.lower(text)
+def cleaned(low: Column) -> Column:
+    """A text in lower case without copyright lines and punctuation; line breaks stay."""
     hinted = F.lit(False)
     for hint in COPYRIGHT_HINTS:
         hinted = hinted | F.contains(low, F.lit(hint))
-    kept = F.when(hinted, F.regexp_replace(low, COPYRIGHT_LINES, "\n")).otherwise(low)
-    return F.regexp_replace(kept, DROPPED, " ")
-
-
-def single_spaced(text: Column) -> Column:
-    """The text with one space for each run of them; most runs are one, and a pattern need not visit those."""
-    return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, "  +", " ")).otherwise(text)
+    return F.regexp_replace(F.when(hinted, F.regexp_replace(low, COPYRIGHT_LINES, "\n")).otherwise(low), DROPPED, " ")
 
 
 def untitled(text: Column) -> Column:
@@ -177,7 +170,7 @@ def untitled(text: Column) -> Column:
 
 def squeezed(text: Column) -> Column:
     """A cleaned text as one line."""
-    return F.trim(single_spaced(F.replace(text, F.lit("\n"), F.lit(" "))))
+    return F.trim(F.regexp_replace(text, "[ \n]+", " "))
 
 
 def spelled(form: Column) -> Column:
@@ -204,7 +197,7 @@ def folder(spark: SparkSession, path: str) -> DataFrame:
 
 def digests_of(texts: DataFrame) -> DataFrame:
     """(license_id, digest, length) of a table (license_id, text)."""
-    form = texts.select("license_id", spelled(squeezed(untitled(cleaned(F.col("text"))))).alias("form")).where("form <> ''")
+    form = texts.select("license_id", spelled(squeezed(untitled(cleaned(F.lower("text"))))).alias("form")).where("form <> ''")
     return form.select("license_id", F.sha2("form", 256).alias("digest"), F.length("form").alias("length")).distinct()
 
 
@@ -214,7 +207,9 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str =
     whether known may be broadcast; if it is None, known is counted."""
     least, most, n = known.agg(F.min("length"), F.max("length"), F.count("*")).first()
     small = n <= BROADCAST_ROWS if small is None else small
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), cleaned(F.col(text).cast("string")).alias("text")).where("text is not null")
+    # What is used several times is a column of its own, and so is made once.
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.col(text).cast("string")).alias("low")).where("low is not null")
+    rows = rows.select("doc_id", cleaned(F.col("low")).alias("text"))
     rows = rows.withColumn("body", untitled(F.col("text")))
     part = F.transform(F.split("body", PARAGRAPHS, -1), lambda x: F.struct(squeezed(x).alias("form"), squeezed(untitled(x)).alias("bare"), x.rlike(SEVERAL_LINES).alias("several")))
     rows = rows.withColumn("parts", F.when(F.col("body").rlike(PARAGRAPHS), F.filter(part, lambda x: x["form"] != "")).otherwise(F.array().cast("array<struct<form:string,bare:string,several:boolean>>")))
