@@ -164,13 +164,19 @@ def _store(spark, d, name, frame, key, ranged, root=None):
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def store_round_trip(spark, d):
-    """SINK-01, SINK-02, SINK-06, SINK-13, SCAN-19: published in batches by epoch, with pinned writers and checks, compacted, and read back by its newest revisions."""
+    """SINK-01, SINK-02, SINK-06, SINK-13, SINK-14, STR-14, SCAN-19: published in batches by epoch, with pinned writers and checks, compacted
+    while a reader holds a snapshot, cleared of garbage when it has ended, and read back by its newest revisions."""
     o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), "o_custkey", "o_orderstatus", (F.col("o_orderkey") * 1000).cast("long").alias("slot"))
     store = _store(spark, d, "orders", o, ("o_orderkey",), "slot")
     store.publish(1, {"orders": o.withColumn("o_orderstatus", F.lit("old"))})
     store.publish(2, {"orders": o.where("o_custkey % 2 = 0")})
     store.publish(3, {"orders": o.where("o_custkey % 2 = 1")})
-    store.compact("orders", CompactionPolicy(head_files=2))
+    with store.lease() as seen:
+        before = store.latest("orders", catalog=seen)
+        store.compact("orders", CompactionPolicy(head_files=2))
+        if store.collect_garbage() or before.count() != o.count():
+            raise ValueError("files went while they were read")
+    store.collect_garbage()
     if store.faults():
         raise ValueError(str(store.faults()))
     return store.latest("orders").drop("slot")
@@ -178,7 +184,7 @@ def store_round_trip(spark, d):
 
 @query("SELECT count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders WHERE o_orderkey * 1000 BETWEEN 432000 AND 1295999")
 def store_pruned(spark, d):
-    """SCAN-19: only the files of two epochs are read."""
+    """SCAN-19, FILT-11: a query that the gate accepts reads only the files of two epochs."""
     o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), (F.col("o_orderkey") * 1000).cast("long").alias("slot"))
     store = _store(spark, d, "orders", o, ("o_orderkey",), "slot")
     store.publish(1, {"orders": o})
@@ -279,3 +285,11 @@ def nested_feed(spark, d):
     flat = answers.select("p_partkey", F.explode(F.filter("a.data.history", lambda x: x["token_id"].isNotNull())).alias("x"))
     keyed = M.project(flat.select(F.to_json(F.struct("p_partkey")).alias("outcome"), *(F.col(f"x.{f.name}").alias(f.name) for f in kinds if f.name != "outcome")), M.FEEDS["polymarket_prices"])
     return keyed.select(F.get_json_object("outcome", "$.p_partkey").cast("long").alias("p_partkey"), "token_id", "price", "time_s", "outcome_index")
+
+
+@query("""
+SELECT label, count(*) AS n FROM (VALUES ('1-URGENT', 'first'), ('2-HIGH', 'first'), ('5-LOW', 'last')) v(priority, label) JOIN orders ON o_orderpriority = priority GROUP BY label""")
+def inline_values(spark, d):
+    """SCAN-13: values in a query as a relation."""
+    table(spark, d, "orders").createOrReplaceTempView("valued_orders")
+    return spark.sql("select label, count(*) n from values ('1-URGENT', 'first'), ('2-HIGH', 'first'), ('5-LOW', 'last') v(priority, label) join valued_orders on o_orderpriority = priority group by label")

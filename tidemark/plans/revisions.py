@@ -15,7 +15,7 @@ from tidemark.sources.tables import table
 WITH newest AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
 SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM newest GROUP BY event_type ORDER BY n DESC, event_type""")
 def latest_revision(spark, d):
-    """WIN-01, FILT-05, SCAN-01: newest event of each user and type, counted by type."""
+    """WIN-01, FILT-05: newest event of each user and type, counted by type."""
     events = table(spark, d, "events").select("user_id", "event_type", "ts", "event_id", "value")
     newest = R.latest_revision(events, ["user_id", "event_type"], ["ts", "event_id"])
     return newest.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).orderBy(F.desc("n"), "event_type")

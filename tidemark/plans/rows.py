@@ -34,7 +34,7 @@ def casts_dates(spark, d):
 @query("""
 SELECT o_orderkey // 432 AS epoch, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi, -7 // 2 AS truncated FROM orders GROUP BY ALL""")
 def int_div_epoch(spark, d):
-    """FN-01, FN-02, SCAN-19, SINK-02: partition numbers by integer division, which truncates."""
+    """FN-01, FN-02: partition numbers by integer division, which truncates."""
     return table(spark, d, "orders").groupBy(F.expr("o_orderkey div 432").alias("epoch")).agg(
         F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"), F.expr("cast(-7 div 2 as int)").alias("truncated")
     )
@@ -61,7 +61,7 @@ def regex_extract(spark, d):
 @query("""
 SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k, props->>'$.missing' AS missing FROM events""")
 def json_extract(spark, d):
-    """FN-14, SCAN-10, SCAN-11: fields of a JSON text, by schema."""
+    """FN-14: fields of a JSON text, by schema."""
     p = F.from_json("props", "k long, missing string")
     return table(spark, d, "events").select("event_id", p["k"].alias("k"), p["missing"].alias("missing"))
 
@@ -70,7 +70,7 @@ def json_extract(spark, d):
 SELECT vec_id, embedding[1]::DOUBLE AS first, round(list_sum(list_transform(embedding[1:20], lambda x: x::DOUBLE)), 4) AS top20,
   round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 4) AS norm2, len(embedding) AS n, list_contains(embedding, 0.0) AS has_zero FROM embeddings""")
 def array_ops(spark, d):
-    """FN-15, PROJ-06, PROJ-08, DEC-13: elements, slices, generated sums."""
+    """FN-15, PROJ-06, PROJ-08: elements, slices, generated sums."""
     v = F.col("embedding").cast("array<double>")
     add = lambda a, x: a + x
     return table(spark, d, "embeddings").select(

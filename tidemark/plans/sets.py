@@ -49,7 +49,7 @@ def intersect_hours(spark, d):
 
 @query("SELECT n_nationkey AS key, n_name AS name, NULL::VARCHAR AS extra FROM nation UNION ALL BY NAME SELECT r_name AS name, r_regionkey AS key, 'region' AS extra FROM region")
 def union_by_name(spark, d):
-    """SET-01, SCAN-01: tables of other shapes and column orders."""
+    """SET-01: tables of other shapes and column orders."""
     a = table(spark, d, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
     b = table(spark, d, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("key"), F.lit("region").alias("extra"))
     return a.unionByName(b, allowMissingColumns=True)
