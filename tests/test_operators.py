@@ -337,3 +337,12 @@ def test_a_stores_digest_is_of_its_content(spark, tmp_path):
     assert first == b.digest() and a.compact("txs", C.CompactionPolicy(head_files=2)) == 2 and a.digest() == first
     b.publish(10, batch(spark, [("c", 6, "h")], []))
     assert b.digest() != first
+
+
+def test_faults_tell_rows_and_content_apart(spark, tmp_path):
+    store = C.Store(spark, f"file://{tmp_path}/store", SPECS)
+    store.publish(1, batch(spark, [("a", 5, "h"), ("b", 6, "h")], [("a/0", "a", 5, "h")]))
+    path = store.files("txs")[0].path
+    for rows, what in (([("a", 5, "h")], "1 rows instead of 2"), ([("a", 5, "h"), ("b", 6, "other")], "other content")):
+        spark.createDataFrame(rows, SPECS[0].schema).write.mode("overwrite").parquet(path)
+        assert store.faults() == [(path, what)]

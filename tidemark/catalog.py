@@ -342,14 +342,22 @@ class Store(Folder):
     def faults(self, watermark: int | None = None, catalog: Catalog | None = None) -> list[tuple[str, str]]:
         """(path, fault) of the active files that hold rows up to the watermark: missing, or other rows than registered.  A
         service starts only on an empty list."""
-        out = []
-        for f in (catalog or self.snapshot()).files:
-            if not f.path or (watermark is not None and f.low > watermark):
+        out, files = [], [f for f in (catalog or self.snapshot()).files if f.path and (watermark is None or f.low <= watermark)]
+        for name, spec in self.tables.items():
+            own = [f for f in files if f.table == name]
+            there = [f for f in own if self._exists(f.path)]
+            out += [(f.path, "missing") for f in own if f not in there]
+            if not there:
                 continue
-            if not self._exists(f.path):
-                out.append((f.path, "missing"))
-            elif (found := self._found(f.path, f.table)) != (f.rows, f.digest):
-                out.append((f.path, f"{found[0]} rows instead of {f.rows}" if found[0] != f.rows else "other content"))
+            # One job for all files of a table; a folder's last two names tell it from all others.
+            rows = self.spark.read.schema(spec.schema).parquet(*(f.path for f in there)).select("*", F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)/[^/]+$", 1).alias("folder"))
+            found = {r["folder"]: (int(r["n"]), digest_of(r)) for r in rows.groupBy("folder").agg(*self._facts(rows, spec)).collect()}
+            for f in there:
+                n, digest = found.get("/".join(f.path.split("/")[-2:]), (0, ""))
+                if n != f.rows:
+                    out.append((f.path, f"{n} rows instead of {f.rows}"))
+                elif digest != f.digest:
+                    out.append((f.path, "other content"))
         return out
 
     def _found(self, path: str, name: str) -> tuple[int, str]:

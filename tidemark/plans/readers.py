@@ -166,7 +166,7 @@ def _store(spark, d, name, frame, key, ranged, root=None):
 def store_round_trip(spark, d):
     """SINK-01, SINK-02, SINK-06, SINK-13, SINK-14, STR-14, SCAN-19: published in batches by epoch, with pinned writers and checks, compacted
     while a reader holds a snapshot, cleared of garbage when it has ended, and read back by its newest revisions."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), "o_custkey", "o_orderstatus", (F.col("o_orderkey") * 1000).cast("long").alias("slot"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), "o_custkey", "o_orderstatus", (F.col("o_orderkey") * 30).cast("long").alias("slot"))
     store = _store(spark, d, "orders", o, ("o_orderkey",), "slot")
     store.publish(1, {"orders": o.withColumn("o_orderstatus", F.lit("old"))})
     store.publish(2, {"orders": o.where("o_custkey % 2 = 0")})
@@ -182,10 +182,10 @@ def store_round_trip(spark, d):
     return store.latest("orders").drop("slot")
 
 
-@query("SELECT count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders WHERE o_orderkey * 1000 BETWEEN 432000 AND 1295999")
+@query("SELECT count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders WHERE o_orderkey * 30 BETWEEN 432000 AND 1295999")
 def store_pruned(spark, d):
     """SCAN-19, FILT-11: a query that the gate accepts reads only the files of two epochs."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), (F.col("o_orderkey") * 1000).cast("long").alias("slot"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), (F.col("o_orderkey") * 30).cast("long").alias("slot"))
     store = _store(spark, d, "orders", o, ("o_orderkey",), "slot")
     store.publish(1, {"orders": o})
     low, high = 432_000, 1_295_999
@@ -208,11 +208,11 @@ def two_stores(spark, d):
 
 
 @query("""
-SELECT epoch, count(*) AS n, bool_and(whole) AS sealed FROM (SELECT o_orderkey * 1000 // 432000 AS epoch, (SELECT max(o_orderkey) * 1000 // 432000 FROM orders) > o_orderkey * 1000 // 432000 AS whole FROM orders)
+SELECT epoch, count(*) AS n, bool_and(whole) AS sealed FROM (SELECT o_orderkey * 30 // 432000 AS epoch, (SELECT max(o_orderkey) * 30 // 432000 FROM orders) > o_orderkey * 30 // 432000 AS whole FROM orders)
 GROUP BY epoch""")
 def sealed_epochs(spark, d):
     """SINK-15, SINK-16, DQ-09, DQ-12: epochs sealed once by their facts; the first is offloaded and restored, and all files are as registered."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), (F.col("o_orderkey") * 1000).cast("long").alias("slot"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), (F.col("o_orderkey") * 30).cast("long").alias("slot"))
     root = state_dir(spark)
     store = _store(spark, d, "orders", o, ("o_orderkey",), "slot", f"{root}/store")
     store.publish(1, {"orders": o})
