@@ -8,6 +8,7 @@ import json
 import re
 import struct
 from collections.abc import Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -18,6 +19,7 @@ BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 NUMBER = re.compile(r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?")
 
 
+@lru_cache(maxsize=1 << 16)  # keys come again and again
 def base58_encode(data: bytes) -> str:
     n, out = int.from_bytes(data, "big"), []
     while n:
@@ -27,6 +29,7 @@ def base58_encode(data: bytes) -> str:
     return BASE58[0] * zeros + "".join(reversed(out))
 
 
+@lru_cache(maxsize=1 << 16)
 def base58_decode(text: str) -> bytes:
     n = 0
     for c in text:
