@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import HashFilter, cut, table, text_chunks, tidy, word_hashes
 
 PRIOR = 4.0  # words that a single word's probability weighs beside its context's own
-GROUP_ROWS = 1024  # texts that a task holds at once
+GROUP_ROWS = 2048  # texts that a task holds at once
 SHARD_BYTES = 1 << 23  # of text for each shard
 FILTER_LOG = 24  # bits, as a power of 2, of the filter of target ids: 2 MB
 SEGMENT = 1 << 21  # bytes that are hashed at once
@@ -44,6 +44,7 @@ _KIND[0x80:] = _WORD
 _KIND[list(b" \t\n\v\f\r")] = _SPACE
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_PAIR, _LOW = np.uint64(0x100), np.uint64(0x1FF)  # the bit that tells pairs from words, and what a key has below its 55 bits
 _EDGE = np.uint64(0x2545F4914F6CDD1D)  # the end of a text, and what stands before its first word
 
 
@@ -94,14 +95,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The key of each word (even), that of the pair of it with the word before (odd), text after text, and how
+    """The key of each word, that of the pair of it with the word before, text after text, and how
     many words each text has; a text with words has its end as one more."""
     h, n = words(texts)
     seen = n > 0
     line = np.full(len(h) + int(seen.sum()), _EDGE)
     line[np.arange(len(h)) + np.repeat(np.cumsum(seen) - 1, n)] = h
     before = np.roll(line, 1)  # the first word of a text comes after an end
-    return _mixed(line) & ~np.uint64(1), _mixed(before * np.uint64(0xD1342543DE82EF95) + line) | np.uint64(1), n
+    return _mixed(line) & ~_LOW, _mixed(before * np.uint64(0xD1342543DE82EF95) + line) & ~_LOW | _PAIR, n
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -177,7 +178,7 @@ def merged(parts: pa.Table) -> pa.Table:
     for side in ("target", "background"):
         n = np.concatenate([unpacked(c.as_py(), np.uint32) for c in parts[side]])
         totals.append(np.bincount(place, n, len(all_keys)).astype(np.int64))
-    single = (all_keys & np.uint64(1) == 0) & (totals[0] + totals[1] > 0)
+    single = (all_keys & _PAIR == 0) & (totals[0] + totals[1] > 0)
     asked: dict[int, list[np.ndarray]] = {}
     for group, lo, hi in zip(parts["group"].to_pylist(), ends[:-1], ends[1:], strict=True):
         if group is not None:
