@@ -327,6 +327,20 @@ def test_content_digest_depends_on_content_alone(spark):
         digest([*rows, rows[7]])
 
 
+def test_content_digest_has_one_level_above_many_leaves(spark, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(quality, "LEAF_ROWS", 1)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    leaves = {}
+    for i in range(3000):  # 12 bits of leaves
+        text = f"I{len(str(i))}:{i}"
+        leaves.setdefault(int(sha(text)[:3], 16), []).append((sha(text), sha(text + f"T2:t{i % 10}")))
+    root = sha("".join(sha("".join(h for _, h in sorted(leaves[at]))) for at in sorted(leaves)))
+    got = quality.content_digest(spark.range(3000).selectExpr("id a", "concat('t', id % 10) b").repartition(5), "t", ["a"]).first()
+    assert (got["n"], got["digest"]) == (3000, sha("1:t2:1:a6:bigint1:b6:string3000:" + root))
+
+
 def test_a_stores_digest_is_of_its_content(spark, tmp_path):
     stores = [C.Store(spark, f"file://{tmp_path}/{k}", SPECS) for k in "ab"]
     a, b = stores

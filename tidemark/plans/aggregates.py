@@ -160,7 +160,7 @@ leaves AS (SELECT ('0x' || substr(k, 1, 12))::BIGINT >> (48 - bits) AS leaf, sha
 root AS (SELECT CASE WHEN bits = 0 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY leaf)) END AS h FROM leaves, size GROUP BY bits)
 SELECT n, sha256('{_SCHEMA}' || n || ':' || h) AS digest FROM size, root""")
 def content_digest(spark, d):
-    """AGG-17, FN-11: digest of schema and rows in the order of a tree over their keys.  The SQL has one level above the leaves, enough for a million rows."""
+    """AGG-17, FN-11: digest of schema and rows in the order of a tree over their keys, with one level above the leaves as in the SQL."""
     day, cents = F.to_date("o_orderdate").cast("string").alias("o_orderdate"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
     rows = table(spark, d, "orders").select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"), "o_orderstatus", day, cents)
     return Q.content_digest(rows, "orders", ["o_orderkey"])
