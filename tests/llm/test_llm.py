@@ -166,6 +166,47 @@ def test_langid_stage_rejects_noise(spark, real):
     assert kept == {r["doc_id"] for r in docs.select("doc_id").collect()}
 
 
+def test_langid_beginnings_are_scored_as_texts(monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcé Šs'’,İ\n中文字", k=n)) for n in (900, 3, 700)] + ["", "1 2", "a", "".join(map(chr, range(0x4E00, 0x4E00 + 300)))]
+    texts = [t.encode() for t in texts] + [None]
+    matrix = langid.bundles(texts[:3], np.arange(3), 3, 256, 5)
+    profiles = langid.Profiles(("x", "y", "z"), matrix / np.linalg.norm(matrix, axis=1)[:, None], 256, 5)
+    whole = langid.beginnings(texts, profiles)
+    for name, value in (("CHUNK_BYTES", 64), ("STEP", 16)):
+        monkeypatch.setattr(langid, name, value)
+    for t, got, pieces in zip(texts, whole, langid.beginnings(texts, profiles), strict=True):
+        at, decoded = langid.letters(t), (t or b"").decode()
+        want = langid.guesses([decoded[: at[(1 << k) - 1] + 1].encode() for k in range(len(at).bit_length())], profiles)[1]
+        assert np.allclose(got, want, atol=1e-12) and np.allclose(pieces, want, atol=1e-12)
+
+
+def test_langid_bars_are_of_all_learning_texts(spark, monkeypatch):
+    rng = random.Random(6)
+    words = (ENGLISH + " " + GERMAN).split()
+    rows = [(" ".join(rng.choices(words, k=rng.randint(1, 4))) + f" {i}", "en" if i % 2 else "de") for i in range(5000)]
+    docs = spark.createDataFrame([*rows, *rows[:900], ("zqx vwk", None), (None, "en")], "text string, lang string").repartition(3)
+    profiles = langid.learn(docs, dim=256)
+    scores = langid.beginnings([t.encode() for t, _ in rows], profiles)
+    want = []
+    for k in range(max(map(len, scores))):
+        mine = [s[k] for s in scores if len(s) > k]
+        want.append(np.percentile(mine, 100 * langid.BAR_QUANTILE) * langid.BAR_SHARE if len(mine) >= langid.LEAST_SAMPLES else None)
+    while want[-1] is None:
+        want.pop()
+    assert np.allclose(langid.bars(docs, profiles), want, rtol=0, atol=1e-12)
+    monkeypatch.setattr(langid, "ACCURACY", 2000)  # brackets that leave most scores out
+    assert np.allclose(langid.bars(docs, profiles), want, rtol=0, atol=1e-12)
+
+
+def test_langid_stage_learns_from_all_labelled_rows(spark):
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rest = [i for i in range(40) if i not in held]
+    rows = [(i, GERMAN, "de") for i in held] + [(i, ENGLISH, "en") for i in rest] + [(100, GERMAN + " und", None)]
+    got = langid.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), FOLDER)
+    assert {r["doc_id"]: r["lang"] for r in got.collect()} == {i: "de" if i in held or i == 100 else "en" for i in (*held, *rest, 100)}
+
+
 # 2. Decontamination
 
 

@@ -11,7 +11,7 @@ trigram vectors STEP at a time; only a single word longer than that is held whol
 Cases: null texts and texts without a letter give ("und", 0.0); any text is used whole; equal
 cosines go to the alphabetically first language; repeated rows give repeated predictions (and count
 again in learning); without any usable training row all documents are "und"; other columns of the
-input are not read.  Rows with a null label or null id are not learned from.
+input are not read.  Rows with a null label are not learned from, by the query also those with a null id.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import key_bucket, table, text_chunks, tidy
+from tidemark.llm.common import cut, key_bucket, release, table, text_chunks, tidy
 
 DIM = 1024
 SEED = 20
@@ -35,7 +35,8 @@ DENSE_GRAMS = 1 << 22
 STEP = 1 << 14  # trigram vectors that are held at once
 MOST_VECTORS = 1 << 15  # letter vectors that a worker remembers
 MAX_LANGUAGES = 4096
-CALIBRATION_ROWS = 4096  # distinct learning texts, those of least hash, from whose beginnings the bars are set
+BEGINNINGS_ROWS = 64  # texts whose beginnings are bundled at once
+ACCURACY = 10_000  # of approximate percentiles: they are off by n / ACCURACY ranks at most
 LEAST_SAMPLES = 64  # beginnings of one length that make a bar
 BAR_QUANTILE, BAR_SHARE = 0.01, 0.5
 
@@ -189,31 +190,76 @@ def letters(text: bytes | None) -> np.ndarray:
     return np.flatnonzero(is_letter()[codes])
 
 
+def beginnings(texts: list[bytes | None], profiles: Profiles) -> list[list[float]]:
+    """For each text the scores that its beginnings of 1, 2, 4 ... letters have; each trigram is bundled once for all of them."""
+    found = [letters(t) for t in texts]
+    n = [len(at).bit_length() for at in found]
+    # What lies behind the longest beginning is not needed.
+    heads = [t.decode("utf-8", "replace")[: at[(1 << (k - 1)) - 1] + 1].encode() if k else b"" for t, at, k in zip(texts, found, n, strict=True)]
+    sums, seen = [np.zeros((k, profiles.dim)) for k in n], [0] * len(texts)
+    for part, owners in parts(heads, np.arange(len(texts))):
+        alphabet, distinct, doc, which = grams(part)
+        edges = np.searchsorted(doc, np.arange(len(part) + 1))
+        for i, lo, hi in zip(owners, edges[:-1], edges[1:], strict=True):
+            number = np.arange(seen[i] + 1, seen[i] + 1 + hi - lo)
+            seen[i] += hi - lo
+            first = np.frexp(number)[1]  # the letter of this number is inside the beginnings of 2**first letters and more
+            inside = first < n[i]
+            used, place = np.unique(which[lo:hi][inside], return_inverse=True)
+            for at in range(0, len(used), STEP):
+                some = used[at : at + STEP]
+                own = (place >= at) & (place < at + len(some))
+                counts = np.bincount(first[inside][own] * len(some) + place[own] - at, minlength=n[i] * len(some)).reshape(n[i], len(some)).cumsum(0)
+                sums[i] += counts.astype(np.float32) @ gram_vectors(alphabet, distinct[some], profiles.dim, profiles.seed).astype(np.float32)
+            last = np.flatnonzero(number & (number - 1) == 0)  # letters that end a beginning, before a word boundary
+            if len(last):
+                sums[i][first[last] - 1] += gram_vectors(alphabet, distinct[which[lo:hi][last]] * [1, 1, 0], profiles.dim, profiles.seed)
+    return [nearest(s, profiles)[1].tolist() for s in sums]
+
+
 def bars(docs: DataFrame, profiles: Profiles, text: str = "text", label: str = "lang") -> list[float]:
     """The least score of a text of 2**k to 2**(k + 1) - 1 letters, for each k: BAR_SHARE of the BAR_QUANTILE of
-    the scores that beginnings of learning rows have at 2**k letters.  Lengths that too few rows have take the
-    bar of the length before; the first ones have 0."""
+    the scores that beginnings of all distinct learning texts have at 2**k letters, found exactly.  Lengths that too few texts
+    have take the bar of the length before; the first ones have 0."""
 
-    def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for value in batch.column(0).cast(pa.large_binary()):
-                at, decoded = letters(value.as_py()), value.as_py().decode("utf-8", "replace")
-                ks = range(len(at).bit_length())
-                scores = [guesses([decoded[: at[(1 << k) - 1] + 1].encode()], profiles)[1][0] for k in ks]
-                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(scores, pa.float64())], names=["k", "score"])
+            for start, texts in text_chunks(batch.column(0), CHUNK_BYTES, BEGINNINGS_ROWS):
+                scores = pa.array(beginnings(texts, profiles), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(start, len(texts)), scores], names=["hash", "scores"])
 
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("hash"))
-    # The last of the least hashes is found among hashes alone, so that only the chosen texts move.
-    last = rows.select("hash").distinct().orderBy("hash").limit(CALIBRATION_ROWS).agg(F.max("hash")).first()[0]
-    rows = rows.where(F.col("hash") <= F.lit(last).cast("long")).groupBy("hash").agg(F.min("text").alias("text")).select("text")
-    scored = rows.mapInArrow(tidy(beginnings), "k int, score double").groupBy("k").agg(F.count("*").alias("n"), F.percentile("score", F.lit(BAR_QUANTILE)).alias("low"))
-    found = {x["k"]: x["low"] * BAR_SHARE for x in scored.collect() if x["n"] >= LEAST_SAMPLES}
+    # Scores move, not texts.
+    scored = rows.mapInArrow(tidy(each), "hash long, scores array<double>").dropDuplicates(["hash"])
+    scored = cut(scored.select(F.posexplode("scores").alias("k", "score")), "beginnings")
+    found = {k: x * BAR_SHARE for k, (n, x) in quantiles(scored, BAR_QUANTILE).items() if n >= LEAST_SAMPLES}
+    release(scored)
     out: list[float] = []
     for k in range(max(found, default=0) + 1):
         out.append(found.get(k, out[-1] if out else 0.0))
     return out
 
 
+def quantiles(scored: DataFrame, share: float) -> dict[int, tuple[int, float]]:
+    """n and the quantile of the scores (0 or more) of each k = 0, 1, 2 ..., exact, between two ranks on the line.  Approximate percentiles
+    bracket it; of what lies in the bracket, some thousandths, distinct scores and their counts reach the driver."""
+    ends = F.percentile_approx("score", [max(0.0, share - 10 / ACCURACY), min(1.0, share + 10 / ACCURACY)], ACCURACY)
+    got = scored.groupBy("k").agg(F.count("*").alias("n"), F.array(F.min("score"), F.max("score")).alias("all"), ends.alias("ends")).orderBy("k").collect()
+    if not got:
+        return {}
+    brackets = [r["all"] if r["n"] <= ACCURACY else r["ends"] for r in got]
+    low, high = (F.get(F.array(*(F.lit(b[i]) for b in brackets)), F.col("k")) for i in (0, 1))
+    below = F.when(F.col("score") < low, -1.0).otherwise(F.col("score"))
+    counts = scored.where(F.col("score") <= high).groupBy("k", below.alias("score")).agg(F.count("*").alias("n")).toPandas().sort_values(["k", "score"])
+    out = {}
+    for r in got:
+        mine, rank = counts[counts["k"] == r["k"]], (r["n"] - 1) * share
+        at = np.searchsorted(mine["n"].cumsum().to_numpy(), [np.floor(rank), np.ceil(rank)], side="right")
+        a, b = mine["score"].to_numpy()[at]
+        out[r["k"]] = (r["n"], float(a + (b - a) * (rank - np.floor(rank))))
+    return out
+
+
 def recognised(docs: DataFrame, profiles: Profiles, least: list[float], keep: tuple[str, ...]) -> DataFrame:
     """The columns keep and lang_pred of the documents whose score is above 0 and at least the bar of their length."""
     out = predict(docs, profiles, keep=keep, counted=True)
@@ -222,17 +268,22 @@ def recognised(docs: DataFrame, profiles: Profiles, least: list[float], keep: tu
     return out.where((F.col("lang_pred") != "und") & (F.col("score") > 0) & (F.col("score") >= bar)).drop("score", "n_letters")
 
 
+def nearest(hv: np.ndarray, profiles: Profiles) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the language nearest to each bundle, -1 for an empty one, and the cosine, at least 0."""
+    length = np.linalg.norm(hv, axis=1)
+    if not profiles.langs:
+        return np.full(len(hv), -1), np.zeros(len(hv))
+    cos = hv @ profiles.matrix.T / np.where(length, length, 1)[:, None]
+    best = np.round(cos, 12).argmax(1)
+    return np.where(length > 0, best, -1), np.where(length > 0, np.clip(cos[np.arange(len(best)), best], 0, 1), 0.0)
+
+
 def guesses(texts: list[bytes | None], profiles: Profiles) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
     if not profiles.langs:
         return ["und"] * len(texts), [0.0] * len(texts)
-    hv = bundles(texts, np.arange(len(texts)), len(texts), profiles.dim, profiles.seed)
-    length = np.linalg.norm(hv, axis=1)
-    cos = hv @ profiles.matrix.T / np.where(length, length, 1)[:, None]
-    best = np.round(cos, 12).argmax(1)
-    known = length > 0
-    langs = [profiles.langs[b] if k else "und" for b, k in zip(best, known, strict=True)]
-    return langs, np.where(known, np.clip(cos[np.arange(len(best)), best], 0, 1), 0.0).tolist()
+    best, scores = nearest(bundles(texts, np.arange(len(texts)), len(texts), profiles.dim, profiles.seed), profiles)
+    return [profiles.langs[b] if b >= 0 else "und" for b in best], scores.tolist()
 
 
 def predict(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_id",), text: str = "text", counted: bool = False) -> DataFrame:
@@ -268,12 +319,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language: "und", and texts less like any than the bar of their length, go; a null
-    lang gets the prediction."""
+    lang gets the prediction.  Nothing is held out: profiles and bars are of all rows that have a lang."""
     del spark, sf_dir
     columns = docs.columns
-    known = docs.where(key_bucket("doc_id", 4) != 2)
-    profiles = learn(known)
+    profiles = learn(docs)
     rows = docs.select(F.struct(*columns).alias("__row"), "text")
-    out = recognised(rows, profiles, bars(known, profiles), keep=("__row",))
+    out = recognised(rows, profiles, bars(docs, profiles), keep=("__row",))
     got = {c: F.col("__row")[c] for c in columns}
     return out.select(*(F.coalesce(got[c], "lang_pred").alias(c) if c == "lang" else got[c].alias(c) for c in columns))
