@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -121,6 +122,34 @@ def test_bundles_hold_bounded_memory():
     assert len(cut_up) > 3_800_000 and peak < 500 << 20
 
 
+def test_bundles_hold_few_trigram_vectors():
+    import tracemalloc
+
+    text = "".join(random.Random(2).choices("abcdefghijklmnopqrstuvwxyz ", k=200_000)).encode()
+    tracemalloc.start()
+    langid.bundles([text], np.zeros(1, int), 1, langid.DIM, langid.SEED)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(langid.grams([text])[1]) > 15_000 and peak < 64 << 20
+
+
+def test_stages_bound_batches_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, f"{ENGLISH} {i} " * 2000, "en", "a") for i in range(100)], "doc_id long, text string, lang string, source string").repartition(1)
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]}) for b in batches)
+    try:
+        for stage in (langid.stage, simhash.stage, decontam.stage, bpe.stage):
+            spark.conf.unset(key)
+            stage(spark, docs, FOLDER)
+            got = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+            assert sum(r["rows"] for r in got) == 100 and max(r["bytes"] for r in got) < common.BATCH_BYTES + (1 << 20)
+        spark.conf.set(key, "1m")
+        bpe.stage(spark, docs, FOLDER)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_langid_predicts_by_brute_force_cosine(spark, real):
     rows = real["documents"].where("n_chars < 1500").limit(40)
     profiles = langid.learn(real["documents"].where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2), dim=256)

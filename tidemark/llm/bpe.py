@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import table, text_chunks, tidy
+from tidemark.llm.common import small_batches, table, text_chunks, tidy
 
 BITS = 20  # of an id in a pair
 LONGEST_VOCABULARY = 64 << 20
@@ -318,5 +318,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The last stage: each document with its token ids and the digest of the text that they decode to."""
-    del spark, sf_dir
+    del sf_dir
+    small_batches(spark)
     return encode(docs, vocabulary_path(), keep=("doc_id", "lang", "source"), back=True)

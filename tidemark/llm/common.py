@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_BYTES = 1 << 23  # of an Arrow batch on its way to a worker
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -74,6 +77,14 @@ def _delete(path: str) -> None:
 atexit.register(clear)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches end at BATCH_BYTES, or where it has a lower limit already; a longer row stands
+    alone.  At Spark's 64 MB a task's whole input can be one batch, which the executor holds outside its heap, in buffers of up to
+    twice the size, while the worker holds it again and the executor reads what comes back."""
+    if spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def free_name(docs: DataFrame, base: str) -> str:
     """base, made longer until no column of docs has that name."""
     taken = {c.lower() for c in docs.columns}

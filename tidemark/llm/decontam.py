@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import HashFilter, cut, table, text_chunks, tidy, word_hashes
+from tidemark.llm.common import HashFilter, cut, small_batches, table, text_chunks, tidy, word_hashes
 
 WINDOW = 8
 MIN_LITERALS = 4
@@ -296,6 +296,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; rows are told apart by doc_id, which may be null, and text."""
+    small_batches(spark)
     # One column holds the row, so that no name of the input can clash with the names here.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own_digest"))
     bad = cut(row_matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "digest").distinct(), "contaminated")

@@ -6,7 +6,7 @@ of its trigram vectors, a language the bundle of its training documents; the pre
 has the prototype of highest cosine.
 
 Memory: texts are bundled in parts of about CHUNK_BYTES, longer ones in pieces that end beside a character that is no letter, and
-trigram vectors STEP at a time; only a single word longer than that is held whole.
+the counts of STEP trigrams and the vectors of BLOCK are held at a time; only a single word longer than that is held whole.
 
 Cases: null texts and texts without a letter give ("und", 0.0); any text is used whole; equal
 cosines go to the alphabetically first language; repeated rows give repeated predictions (and count
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, key_bucket, release, table, text_chunks, tidy
+from tidemark.llm.common import cut, key_bucket, release, small_batches, table, text_chunks, tidy
 
 DIM = 1024
 SEED = 20
@@ -32,7 +32,8 @@ CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 384
 WIDTH = 16  # dimensions in one row of a partial prototype
 DENSE_GRAMS = 1 << 22
-STEP = 1 << 14  # trigram vectors that are held at once
+STEP = 1 << 14  # trigrams whose counts are held at once
+BLOCK = 1 << 11  # trigram vectors that are held at once
 MOST_VECTORS = 1 << 15  # letter vectors that a worker remembers
 MAX_LANGUAGES = 4096
 BEGINNINGS_ROWS = 64  # texts whose beginnings are bundled at once
@@ -103,6 +104,14 @@ def gram_vectors(alphabet: np.ndarray, distinct: np.ndarray, dim: int, seed: int
     return twice[place[:, 0]] * once[place[:, 1]] * single[place[:, 2]]
 
 
+def weighed(counts: np.ndarray, alphabet: np.ndarray, distinct: np.ndarray, dim: int, seed: int) -> np.ndarray:
+    """The sums of the trigrams' vectors by each row of counts.  They are whole numbers, so blocks change nothing."""
+    out = np.zeros((len(counts), dim))
+    for lo in range(0, len(distinct), BLOCK):
+        out += counts[:, lo : lo + BLOCK].astype(np.float32) @ gram_vectors(alphabet, distinct[lo : lo + BLOCK], dim, seed).astype(np.float32)
+    return out
+
+
 def parts(texts: list[bytes | None], groups: np.ndarray) -> Iterator[tuple[list[bytes | None], np.ndarray]]:
     """Texts and their groups, about CHUNK_BYTES at a time.  A longer text comes in pieces, cut beside characters that are no
     letters and so stand for word boundaries just as the ends of a text do: no trigram changes."""
@@ -142,8 +151,7 @@ def bundles(texts: list[bytes | None], groups: np.ndarray, n_groups: int, dim: i
             some = distinct[lo : lo + step]
             own = slice(*np.searchsorted(which, [lo, lo + len(some)])) if len(distinct) > step else slice(None)
             counts = np.bincount(own_groups[doc[own]] * len(some) + which[own] - lo, minlength=n_groups * len(some))
-            counts = counts.reshape(n_groups, len(some)).astype(np.float32)
-            out += counts @ gram_vectors(alphabet, some, dim, seed).astype(np.float32)
+            out += weighed(counts.reshape(n_groups, len(some)), alphabet, some, dim, seed)
     return out
 
 
@@ -210,7 +218,7 @@ def beginnings(texts: list[bytes | None], profiles: Profiles) -> list[list[float
                 some = used[at : at + STEP]
                 own = (place >= at) & (place < at + len(some))
                 counts = np.bincount(first[inside][own] * len(some) + place[own] - at, minlength=n[i] * len(some)).reshape(n[i], len(some)).cumsum(0)
-                sums[i] += counts.astype(np.float32) @ gram_vectors(alphabet, distinct[some], profiles.dim, profiles.seed).astype(np.float32)
+                sums[i] += weighed(counts, alphabet, distinct[some], profiles.dim, profiles.seed)
             last = np.flatnonzero(number & (number - 1) == 0)  # letters that end a beginning, before a word boundary
             if len(last):
                 sums[i][first[last] - 1] += gram_vectors(alphabet, distinct[which[lo:hi][last]] * [1, 1, 0], profiles.dim, profiles.seed)
@@ -320,7 +328,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language: "und", and texts less like any than the bar of their length, go; a null
     lang gets the prediction.  Nothing is held out: profiles and bars are of all rows that have a lang."""
-    del spark, sf_dir
+    del sf_dir
+    small_batches(spark)
     columns = docs.columns
     profiles = learn(docs)
     rows = docs.select(F.struct(*columns).alias("__row"), "text")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, cut, table, text_chunks, tidy
+from tidemark.llm.common import connected_components, cut, small_batches, table, text_chunks, tidy
 
 WORDS = 3
 RADIUS = 2
@@ -404,7 +404,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of close or similar texts: the one with the smallest doc_id, of rows that repeat its id and text
     the least in column order.  Rows are told apart by id and text, so a doc_id may stand for several texts.  Rows without an id
     can't be named by a component and stay."""
-    del spark, sf_dir
+    del sf_dir
+    small_batches(spark)
     # One column holds the row, so that no name of the input can clash with the names here.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
     kept = similar_components(docs.where("doc_id is not null")).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_digest").alias("kept_digest"))
